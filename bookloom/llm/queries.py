@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookloom.llm import caps, split, survivor
+from bookloom.llm import caps, spans, split, survivor
 from bookloom.sources.tables import table
 
 
@@ -40,7 +40,16 @@ def p5_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return split.split_units(table(spark, folder, "book_units"), table(spark, folder, "upload_limits"))
 
 
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return spans.SharedSpans(table(spark, folder, "documents").select("doc_id", "text")).pairs()
+
+
+def p9_shared_part(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return spans.SharedSpans(docs).shares(docs)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of this subpackage by its name."""
-    found = [p3_found, p3_golden_records, p4_found, p4_stratified_cap, p5_found, p5_pieces]
+    found = [p3_found, p3_golden_records, p4_found, p4_stratified_cap, p5_found, p5_pieces, p9_found, p9_shared_part]
     return {f.__name__: f for f in found}
