@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookloom.llm import caps, spans, split, survivor
+from bookloom.llm import caps, quality, spans, split, survivor
+from bookloom.session import materialize
 from bookloom.sources.tables import table
 
 
@@ -40,6 +41,23 @@ def p5_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return split.split_units(table(spark, folder, "book_units"), table(spark, folder, "upload_limits"))
 
 
+def _quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.LineModel.fitted(*quality.labelled_sample(docs, table(spark, folder, "quality_labels")))
+    return quality.quality(docs, model)
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    measured = materialize(_quality(spark, folder).select("doc_id", "kind", "words", "replacementCharacters"), "quality")
+    kinds = measured.where(F.col("kind").isin("list", "table", "junk")).select("doc_id", "kind")
+    stale = quality.stale_audits(measured, table(spark, folder, "quality_audit")).withColumn("kind", F.lit("stale"))
+    return kinds.unionByName(stale).distinct()
+
+
+def p6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return _quality(spark, folder)
+
+
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return spans.SharedSpans(table(spark, folder, "documents").select("doc_id", "text")).pairs()
 
@@ -51,5 +69,5 @@ def p9_shared_part(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of this subpackage by its name."""
-    found = [p3_found, p3_golden_records, p4_found, p4_stratified_cap, p5_found, p5_pieces, p9_found, p9_shared_part]
+    found = [p3_found, p3_golden_records, p4_found, p4_stratified_cap, p5_found, p5_pieces, p6_found, p6_quality, p9_found, p9_shared_part]
     return {f.__name__: f for f in found}
