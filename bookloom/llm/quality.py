@@ -49,7 +49,7 @@ START = {
     "marker": ([0.93, 0.06, 0.007, 0.003], [0.35, 0.35, 0.15, 0.15], [0.85, 0.03, 0.005, 0.115], [0.94, 0.04, 0.01, 0.01]),
     "damage": ([0.93, 0.06, 0.01], [0.98, 0.015, 0.005], [0.98, 0.015, 0.005], [0.60, 0.05, 0.35]),
     "size": ([0.05, 0.25, 0.35, 0.35], [0.40, 0.40, 0.19, 0.01], [0.35, 0.55, 0.09, 0.01], [0.25, 0.25, 0.35, 0.15]),
-    "repeats": ([0.998, 0.002], [0.99, 0.01], [0.98, 0.02], [0.75, 0.25]),
+    "repeats": ([0.999, 0.001], [0.997, 0.003], [0.997, 0.003], [0.60, 0.40]),
     "commas": ([0.60, 0.38, 0.02], [0.45, 0.05, 0.50], [0.97, 0.02, 0.01], [0.85, 0.13, 0.02]),
     "wide": ([0.998, 0.002], [0.90, 0.10], [0.97, 0.03], [0.70, 0.30]),
     "capitals": ([0.995, 0.005], [0.97, 0.03], [0.97, 0.03], [0.70, 0.30]),
@@ -187,6 +187,7 @@ def describe(texts: list[str], tables: Tables) -> tuple[pd.DataFrame, np.ndarray
     cell = np.zeros(len(codes), dtype=bool)
     cell[1:-1] = (codes[1:-1] == 124) & np.isin(codes[:-2], (10, 32, 45)) & np.isin(codes[2:], (10, 32, 45))
     pipes = _sums(cell, l_start, l_end)
+    symbols = symbols - pipes
     tabs, semis, slashes, commas = per_line(_TAB), per_line(_SEMI), per_line(_SLASH), per_line(_COMMA)
 
     head, tail = w_start[first_word], w_end[last_word] - 1
@@ -205,8 +206,8 @@ def describe(texts: list[str], tables: Tables) -> tuple[pd.DataFrame, np.ndarray
 
     features = np.stack([
         steps(common_words / words, 1e-9, 0.12, 0.28), steps(digits / chars, 1e-9, 0.1, 0.35), steps(symbols / chars, 1e-9, 0.05, 0.15), np.minimum(fields, 2),
-        ends, marker, steps(damaged / words, 1e-9, 0.12), steps(words, 3, 8, 25), repeats * 2 >= words, steps(commas / words, 1e-9, 0.55), mean > 20, (loud >= 2) & (loud * 8 >= words),
-        steps((letters + digits) / chars, 0.35, 0.6), (turns >= 2) & (turns >= words),
+        ends, marker, steps(damaged / words, 1e-9, 0.12), steps(words, 3, 8, 25), repeats * 3 >= words, steps(commas / words, 1e-9, 0.55), mean > 20, (loud >= 2) & (loud * 8 >= words),
+        steps((letters + digits + pipes) / chars, 0.35, 0.6), (turns >= 2) & (turns >= words),
     ]).astype(np.int8)
 
     own_words = np.searchsorted(w_start, doc_end) - np.searchsorted(w_start, doc_start)
