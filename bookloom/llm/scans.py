@@ -39,7 +39,9 @@ FIT = -0.2
 # Signs that scanners put for a letter.
 SIGNS = {"0": "o", "1": "l", "!": "i", "|": "l", "9": "g", "+": "t", "8": "b", "6": "e", "3": "a", "5": "s", "$": "s", "ſ": "s"}
 # Pairs of letters that look like one, in the order they are merged.
-MERGED = [("rn", "m"), ("vv", "w"), ("ii", "u"), ("cl", "d"), ("li", "h")]
+MERGED = [("rn", "m"), ("vv", "w"), ("ii", "u")]
+# The same for pairs that overlap one another and the letters below, one choice after the other.
+PAIRS = [[*MERGED, ("cl", "d"), ("li", "h")], [*MERGED, ("li", "h")], MERGED]
 # Letters that look alike once their marks are gone.
 ALIKE = {"c": "e", "b": "h", "f": "r"}
 
@@ -62,13 +64,17 @@ def plain(text: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFD", flat) if c.isalnum())
 
 
-def skeleton(word: str) -> str:
-    """What is left of a word once look-alike glyphs are made equal."""
+def skeletons(word: str) -> list[str]:
+    """What is left of a word once look-alike glyphs are made equal; several where pairs of letters overlap."""
     w = "".join(SIGNS.get(c, c) for c in word.lower())
-    w = "".join(c for c in unicodedata.normalize("NFD", w) if not unicodedata.combining(c))
-    for pair, one in MERGED:
-        w = w.replace(pair, one)
-    return "".join(ALIKE.get(c, c) for c in w)
+    w = "".join(c for c in unicodedata.normalize("NFKD", w) if not unicodedata.combining(c))
+    out = []
+    for pairs in PAIRS:
+        x = w
+        for pair, one in pairs:
+            x = x.replace(pair, one)
+        out.append("".join(ALIKE.get(c, c) for c in x))
+    return list(dict.fromkeys(out))
 
 
 def page_value(text: str) -> int:
@@ -239,16 +245,16 @@ def scanned_lines(units: DataFrame) -> DataFrame:
 
 
 def glyph_keys(counts: DataFrame) -> DataFrame:
-    """(key, word, n, wild): the skeleton of every word, and of every frequent word with each character lost."""
+    """(key, word, n, wild): the skeletons of every word, and of every frequent word with each character lost."""
 
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
             for w, n in zip(pdf["word"], pdf["n"]):
-                k = skeleton(w)
-                out.append((k, w, n, False))
-                if n >= FREQUENT and "�" not in w:
-                    out += [(k[:i] + "�" + k[i + 1 :], w, n, True) for i in range(len(k))]
+                for k in skeletons(w):
+                    out.append((k, w, n, False))
+                    if n >= FREQUENT and "�" not in w:
+                        out += [(k[:i] + "�" + k[i + 1 :], w, n, True) for i in range(len(k))]
             yield pd.DataFrame(out, columns=["key", "word", "n", "wild"])
 
     return counts.mapInPandas(keys, "key string, word string, n bigint, wild boolean")
@@ -383,7 +389,7 @@ def reflow(content: str, author: str | None, title: str | None, fixes: dict[str,
     for i, (line, kind) in enumerate(zip(lines, kinds), 1):
         s = line.strip()
         if kind in ("running_header", "page_number", "mark"):
-            broken = broken or kind != "blank"
+            broken = True
         elif kind == "blank":
             open_ = open_ and (broken or any(k in ("running_header", "page_number", "mark") for k in kinds[i : i + 4]))
         elif kind == "heading":
