@@ -7,11 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookloom.llm import caps, quality, scans, spans, split, survivor
+from bookloom.llm import caps, names, quality, scans, spans, split, survivor
 from bookloom.session import materialize
 from bookloom.sources.tables import table
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return names.Variants(table(spark, folder, "classifier_responses")).found()
+
+
+def p1_classes(spark: SparkSession, folder: str) -> DataFrame:
+    return names.Variants(table(spark, folder, "classifier_responses")).classes()
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return scans.Scans(table(spark, folder, "book_units")).found()
 
@@ -77,5 +85,5 @@ def p9_shared_part(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of this subpackage by its name."""
-    found = [p2_found, p2_repaired, p3_found, p3_golden_records, p4_found, p4_stratified_cap, p5_found, p5_pieces, p6_found, p6_quality, p9_found, p9_shared_part]
+    found = [p1_found, p1_classes, p2_found, p2_repaired, p3_found, p3_golden_records, p4_found, p4_stratified_cap, p5_found, p5_pieces, p6_found, p6_quality, p9_found, p9_shared_part]
     return {f.__name__: f for f in found}
