@@ -25,6 +25,8 @@ from bookloom.session import materialize
 
 #: Least soft weighted similarity of two bylines.
 THRESHOLD = 0.68
+#: Least similarity of two bylines that share a title.
+NEAR = 0.5
 #: Length of the q-grams of a token.
 Q = 2
 #: Least similarity of two titles, character by character.
@@ -110,7 +112,7 @@ def parse_author(text: str | None) -> tuple[str, list[str], list[str], str, str]
             continue
         elif len(w) == 1:
             initials.append(w)
-        elif len(w) <= 3 and raw.isupper() and not shout and not re.search(r"[AEIOUYÁÉÍÓÚ]", raw[1:] if len(raw) > 2 else raw):
+        elif raw.isupper() and not shout and (len(w) == 2 or len(w) == 3 and not re.search(r"[AEIOUYÁÉÍÓÚ]", raw[1:])):
             initials += list(w)
         elif raw.endswith(".") and len(w) <= 4:
             tokens.append(w + ".")
@@ -346,7 +348,7 @@ def similar_tokens(heads: DataFrame, tokens: DataFrame) -> DataFrame:
 
 
 def byline_links(bags: DataFrame) -> DataFrame:
-    """(a, b, similarity, full) of all pairs of bags of at least ``THRESHOLD``; bags: bag, kind, tokens, initials, suffix, extra."""
+    """(a, b, similarity, full) of all pairs of bags of at least ``NEAR``, complete from ``THRESHOLD`` on; bags: bag, kind, tokens, initials, suffix, extra."""
     each = bags.select("bag", F.explode("tokens").alias("token"))
     mates = bags.select(F.explode("tokens").alias("token"), "tokens", "initials").select("token", F.explode_outer(F.array_except("tokens", F.array("token"))).alias("mate")).distinct()
     partners = mates.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
@@ -371,7 +373,7 @@ def byline_links(bags: DataFrame) -> DataFrame:
             out = []
             for r in pdf.to_dict("records"):
                 s, f = soft_similarity(*({c: r[f"{x}_{c}"] for c in fields} for x in "ab"))
-                if s >= THRESHOLD:
+                if s >= NEAR:
                     out.append((r["a"], r["b"], s, f))
             yield pd.DataFrame(out, columns=["a", "b", "similarity", "full"])
 
@@ -391,6 +393,17 @@ class Variants:
         self.rows = rows = materialize(parsed_rows(responses).where("kind != ''"), "parsed")
         bags = rows.select("bag", "kind", "tokens", "initials", "suffix", "extra").distinct()
         links = materialize(byline_links(bags), "bylines")
+        near = links.where(F.col("similarity") < THRESHOLD)
+        for side in "ab":
+            titles = rows.select(F.col("bag").alias(side), F.struct("main", "sub", "part", "cut").alias(f"{side}t")).distinct()
+            near = near.join(titles, side)
+
+        def agree(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                yield pdf.loc[[same_title(a, b) == (True, True) for a, b in zip(pdf["at"], pdf["bt"])], ["a", "b", "similarity", "full"]]
+
+        near = near.select("a", "b", "similarity", "full", "at", "bt").mapInPandas(agree, "a string, b string, similarity double, full boolean").distinct()
+        links = links.where(F.col("similarity") >= THRESHOLD).unionByName(near)
         # bylines with a given name stand for themselves, those with initials or a surname only lean on them
         named = bags.select("bag", ((F.size(F.filter("tokens", lambda t: ~t.endswith("."))) >= 2) | (F.col("kind") == "org")).alias("named"))
         ends = links.join(named.select(F.col("bag").alias("a"), F.col("named").alias("na")), "a").join(named.select(F.col("bag").alias("b"), F.col("named").alias("nb")), "b")
