@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookloom.llm import caps, names, quality, scans, spans, split, survivor
+from bookloom.llm import caps, mix, names, pack, quality, scans, spans, split, survivor
 from bookloom.session import materialize
 from bookloom.sources.tables import table
 
@@ -74,6 +74,26 @@ def p6_quality(spark: SparkSession, folder: str) -> DataFrame:
     return _quality(spark, folder)
 
 
+def p7_containers(spark: SparkSession, folder: str) -> DataFrame:
+    return pack.pack(table(spark, folder, "documents").select("doc_id", "corpus", "text"), table(spark, folder, "upload_limits"))
+
+
+def p7_certificate(spark: SparkSession, folder: str) -> DataFrame:
+    return pack.certificate(materialize(p7_containers(spark, folder), "containers"))
+
+
+def _mix(spark: SparkSession, folder: str) -> mix.Mix:
+    return mix.Mix(table(spark, folder, "documents").select("doc_id", "source", "text"), table(spark, folder, "mix_targets"))
+
+
+def p8_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return _mix(spark, folder).rows()
+
+
+def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
+    return _mix(spark, folder).shares()
+
+
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return spans.SharedSpans(table(spark, folder, "documents").select("doc_id", "text")).pairs()
 
@@ -85,5 +105,5 @@ def p9_shared_part(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of this subpackage by its name."""
-    found = [p1_found, p1_classes, p2_found, p2_repaired, p3_found, p3_golden_records, p4_found, p4_stratified_cap, p5_found, p5_pieces, p6_found, p6_quality, p9_found, p9_shared_part]
+    found = [p1_found, p1_classes, p2_found, p2_repaired, p3_found, p3_golden_records, p4_found, p4_stratified_cap, p5_found, p5_pieces, p6_found, p6_quality, p7_containers, p7_certificate, p8_mix, p8_shares, p9_found, p9_shared_part]
     return {f.__name__: f for f in found}
