@@ -314,6 +314,11 @@ def parsed_rows(responses: DataFrame) -> DataFrame:
     return rows.mapInPandas(parse, PARSED)
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """``df`` over all tasks: a few bytes of pairs can be much work for Python."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _grams(token: str) -> list[str]:
     padded = f"^{token}$"
     return sorted({padded[i : i + Q] for i in range(len(padded) - Q + 1)})
@@ -344,7 +349,10 @@ def similar_tokens(heads: DataFrame, tokens: DataFrame) -> DataFrame:
             yield pdf[[osa(a, b, allowed(a, b)) <= allowed(a, b) for a, b in zip(pdf["head"], pdf["token"])]]
 
     same = heads.select(F.col("token").alias("head"), "token").distinct()
-    return pairs.where("head != token").mapInPandas(near, "head string, token string").unionByName(same)
+    # a swap is two edits to levenshtein, which needs no Python and leaves few pairs
+    reach = F.when((F.length("head") <= 7) | (F.length("token") <= 7), 2).otherwise(4)
+    close = (F.abs(F.length("head") - F.length("token")) <= 2) & (F.levenshtein("head", "token") <= reach)
+    return _spread(pairs.where((F.col("head") != F.col("token")) & close)).mapInPandas(near, "head string, token string").unionByName(same)
 
 
 def byline_links(bags: DataFrame) -> DataFrame:
@@ -377,7 +385,7 @@ def byline_links(bags: DataFrame) -> DataFrame:
                     out.append((r["a"], r["b"], s, f))
             yield pd.DataFrame(out, columns=["a", "b", "similarity", "full"])
 
-    return rows.mapInPandas(verify, "a string, b string, similarity double, full boolean")
+    return _spread(rows).mapInPandas(verify, "a string, b string, similarity double, full boolean")
 
 
 def _labelled(nodes: DataFrame, edges: DataFrame, node: str) -> DataFrame:
@@ -455,7 +463,7 @@ class Variants:
                         out.append((p, x, y, sure, a["part"] or b["part"]))
                 yield pd.DataFrame(out, columns=["person", "x", "y", "sure", "part"])
 
-        same = materialize(rows2.mapInPandas(verify, "person string, x string, y string, sure boolean, part string"), "sametitle")
+        same = materialize(_spread(rows2).mapInPandas(verify, "person string, x string, y string, sure boolean, part string"), "sametitle")
         sure = same.where("sure").select("person", "x", "y")
         # a cut title that hides its part belongs to a part only where there is just one
         hidden = same.where("NOT sure").select("person", F.when(F.col("x").endswith("||true"), F.col("x")).otherwise(F.col("y")).alias("x"), F.when(F.col("x").endswith("||true"), F.col("y")).otherwise(F.col("x")).alias("y"), "part")
