@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bookloom.plans import documents
+from bookloom.plans import documents, works
 
-_MODULES = [documents]
+_MODULES = [documents, works]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
