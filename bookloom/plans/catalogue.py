@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bookloom.plans import documents, works
+from bookloom.plans import documents, portfolio, works
 
-_MODULES = [documents, works]
+_MODULES = [documents, works, portfolio]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
