@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # The characters that count as white space, for Java and RE2 alike.
 SPACE = r"[\s\x{0B}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
@@ -24,7 +25,7 @@ def squeezed(column: Column) -> Column:
     return F.trim(F.regexp_replace(F.coalesce(column, F.lit("")), SPACE + "+", " "))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def decomposed(text: pd.Series) -> pd.Series:
     """Compatibility decomposition, which Spark has no function for."""
     import pyarrow as pa
