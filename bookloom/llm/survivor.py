@@ -160,7 +160,8 @@ def golden_records(catalog: DataFrame) -> DataFrame:
     listed.  Extra columns of the table are ignored.
     """
     groups = materialize(tie_works(catalog), "groups")
-    one = catalog.where("id IS NOT NULL").dropDuplicates(["id"])
+    used = ["id", "classifiedAt", *dict.fromkeys(c for f in BUNDLES.values() for c in f)]
+    one = catalog.where("id IS NOT NULL").select(*used).dropDuplicates(["id"])
     chosen = choose_bundles(bundle_candidates(one, groups))
     source = one.select("id", *[F.col(c) for f in BUNDLES.values() for c in f])
     parts = chosen.join(source, "id")
