@@ -44,6 +44,10 @@ NICKNAMES = {
     "robin": "robert", "rosa": "rosalind", "lindy": "rosalind", "roz": "rosalind", "rose": "rosalind", "sam": "samuel", "sammy": "samuel", "theo": "theodore", "vasek": "vaclav", "venca": "vaclav", "vena": "vaclav", "will": "william", "bill": "william", "billy": "william", "liam": "william", "willy": "william", "zach": "zacharias",
     "zack": "zacharias", "zachy": "zacharias", "zac": "zacharias",
 }
+#: Given names and their short forms, which are taken for frequent before any row is seen.
+GIVEN = sorted({*NICKNAMES, *(n for v in NICKNAMES.values() for n in v.split())})
+#: Tokens, and partners of a given name, supposed beforehand, so that few rows are weighed like many.
+TOKENS_BEFORE, GIVEN_BEFORE = 1000, 50
 # Kinds of organisation and their short forms.
 TYPES = {"institute": "institute", "inst": "institute", "society": "society", "soc": "society", "academy": "academy", "acad": "academy", "foundation": "foundation", "fdn": "foundation", "found": "foundation", "seminar": "seminar", "sem": "seminar", "university": "university", "univ": "university", "college": "college", "coll": "college", "circle": "circle", "press": "press", "association": "association", "assoc": "association", "centre": "centre", "center": "centre"}
 # What sets a person apart from a namesake.
@@ -361,7 +365,9 @@ def byline_links(bags: DataFrame) -> DataFrame:
     mates = bags.select(F.explode("tokens").alias("token"), "tokens", "initials").select("token", F.explode_outer(F.array_except("tokens", F.array("token"))).alias("mate")).distinct()
     partners = mates.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     total = partners.agg(F.count(F.lit(1)).alias("all"))
-    weights = materialize(partners.join(F.broadcast(total)).select("token", F.log1p(F.col("all") / F.col("df")).alias("weight")), "weights")
+    given = F.col("token").isin(GIVEN) | F.col("token").endswith(".")
+    rarity = F.log1p((F.col("all") + TOKENS_BEFORE) / (F.col("df") + F.when(given, GIVEN_BEFORE).otherwise(0)))
+    weights = materialize(partners.join(F.broadcast(total)).select("token", rarity.alias("weight")), "weights")
     weighted = each.join(weights, "token")
     per_bag = weighted.groupBy("bag").agg(F.sort_array(F.collect_list(F.struct("token", "weight"))).alias("tw"))
     full = materialize(bags.drop("tokens").join(per_bag, "bag").select("bag", "kind", "initials", "suffix", "extra", F.col("tw.token").alias("tokens"), F.col("tw.weight").alias("weights")), "bags")

@@ -48,7 +48,8 @@ def lower_bound(sizes: np.ndarray, counts: np.ndarray, capacity: int) -> int:
     order = np.argsort(sizes)
     x, n = sizes[order].astype(np.int64), counts[order].astype(np.int64)
     mass, many = np.concatenate(([0], np.cumsum(x * n))), np.concatenate(([0], np.cumsum(n)))
-    a = np.unique(np.concatenate(([0], x[x <= capacity // 2])))
+    a = np.concatenate(([0], x, x + 1, capacity - x + 1))
+    a = np.unique(a[(a >= 0) & (2 * a <= capacity)])
     low, high = np.searchsorted(x, a, side="left"), np.searchsorted(x, capacity - a, side="right")
     first = (many[-1] - many[high]) + -(-np.maximum(mass[high] - mass[np.minimum(low, high)], 0) // capacity)
     best = max(int(first.max()), -(-int(mass[-1]) // capacity), 1 if many[-1] else 0)
