@@ -15,6 +15,8 @@ CONTROLS = r"[\x{00}-\x{08}\x{0B}\x{0C}\x{0E}-\x{1F}]"
 EMPHASIS = [(r"(\*\*|__)([^*\n_][^\n]*?)(\1)", "$2"), (r"(^|[^*])\*([^*\n]+?)\*(?!\*)", "$1$2"), (r"(^|[^_])_([^_\n]+?)_(?!_)", "$1$2"), (r"\\([\[\]().])", "$1")]
 # Traces of wrong decoding in finished texts.
 SIGNALS = r"ï¿½|â€|Ã.|\x{FFFD}"
+# How lines begin that were put into a text: headings, anchors, context lines.
+NO_PAYLOAD = r"^(?:#{1,6}\s+|<a id=\"retrieval-[^\"]+\"></a>$|\[CORPUS_CONTEXT:)"
 #: Limits of a usable text.
 LEAST_BYTES, LEAST_WORDS = 2000, 300
 
@@ -87,6 +89,5 @@ def corrupted_line(line: Column) -> Column:
 
 
 def payload(text: Column) -> Column:
-    """The lines that carry text: no headings, anchors, context lines or blanks."""
-    lines = F.transform(F.split(even_line_ends(text), "\n"), lambda x: F.regexp_replace(x, r"^[ \t]+|[ \t]+$", ""))
-    return F.array_join(F.filter(lines, lambda x: (x != "") & ~x.rlike(r"^(?:#{1,6}\s|<a id=|\[Context:)")), "\n")
+    """The lines that carry text: no blanks, headings, anchors and context lines."""
+    return F.array_join(F.filter(F.split(text, r"\r?\n"), lambda x: x.rlike(r"\S") & ~x.rlike(NO_PAYLOAD)), "\n")

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bookloom.plans import documents, portfolio, works
+from bookloom.plans import documents, packaging, portfolio, works
 
-_MODULES = [documents, works, portfolio]
+_MODULES = [documents, works, portfolio, packaging]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -137,7 +137,7 @@ WHERE body <> '' AND NOT regexp_matches(body, '^#{{1,6}}\s') AND ((s >= 8 AND s
     "markdown_normal": f"SELECT DISTINCT workId, unitIndex, length(b) AS characters, sha256(b) AS hash FROM (SELECT workId, unitIndex, CASE WHEN body = '' THEN '' ELSE body || chr(10) END AS b FROM (SELECT workId, unitIndex, {_BODY} AS body FROM book_units))",
     "section_assembly": rf"""SELECT workId, count(*) AS sections, sha256(string_agg('## Section ' || sectionIndex || chr(10) || chr(10) || text, chr(10) || chr(10) ORDER BY sectionIndex NULLS FIRST, doc_id)) AS hash
 FROM documents WHERE workId IS NOT NULL AND {_n('[^\\s\\x{0B}]+')} >= 10 GROUP BY workId""",
-    "payload_hash": r"""SELECT DISTINCT workId, unitIndex, sha256(array_to_string(list_filter(list_transform(string_split(regexp_replace(content, '\r\n?', chr(10), 'g'), chr(10)), lambda x: regexp_replace(x, '^[ \t]+|[ \t]+$', '', 'g')), lambda x: x <> '' AND NOT regexp_matches(x, '^(?:#{1,6}\s|<a id=|\[Context:)')), chr(10))) AS hash FROM book_units""",
+    "payload_hash": rf"""SELECT DISTINCT workId, unitIndex, sha256(array_to_string(list_filter(regexp_split_to_array(content, '\r?\n'), lambda x: regexp_matches(x, '[^\s\x{{0B}}]') AND NOT regexp_matches(x, '{T.NO_PAYLOAD}')), chr(10))) AS hash FROM book_units""",
     "accounting_invariant": f"""WITH o AS ({_USABLE.strip().replace('WITH m AS', 'WITH m AS')}) SELECT count_if(outcome = 'selected') AS selected, count_if(outcome LIKE 'exact_duplicate%') AS duplicates, count_if(outcome LIKE 'quality%') AS belowGate,
     (SELECT count(*) FROM documents) AS documents, count(*) = (SELECT count(*) FROM documents) AS balanced FROM o""",
 }
