@@ -86,7 +86,7 @@ def _packed(items: DataFrame, step: int, parts: DataFrame) -> DataFrame:
     of it at most.
     """
     spread = F.pmod(F.xxhash64(F.lit(step), "doc_id", "piece", "size"), F.col("parts")).cast("int")
-    keyed = items.join(F.broadcast(parts), "corpus").withColumn("part", spread).drop("parts")
+    keyed = items.join(parts, "corpus").withColumn("part", spread).drop("parts")
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "piece"], kind="stable")

@@ -6,8 +6,8 @@ from one record (:func:`golden_records`).  Two functional dependencies bind the
 bundles: an edition key determines the title, and the language of the sources
 determines the language of the description.  The search branches on the values
 of the two determining attributes; within a branch the best bundle of each kind
-is a map-side maximum, and a branch whose optimistic total stays below the best
-whole record of its group is cut before its bundles are looked at together.
+is a map-side maximum.  The two dependencies share no bundle, so the best branch
+of each is found exactly by comparing totals, and none needs to be cut early.
 No group is ever collected: every step is an aggregate keyed by group and branch.
 """
 
@@ -146,7 +146,7 @@ def choose_bundles(candidates: DataFrame) -> DataFrame:
     """
     pick = F.struct((-F.col("trust")).alias("t"), F.col("id").alias("id"))
     best = candidates.groupBy("group_id", "axis", "branch", "bundle").agg(F.min(pick).alias("p"))
-    # optimistic total of a branch against the best whole branch of its group
+    # a branch's total is that of its best bundles; the best branch of each axis is taken whole
     branch = best.groupBy("group_id", "axis", "branch").agg(F.sum(F.col("p.t")).alias("t"), F.collect_list(F.struct("bundle", F.col("p.id").alias("id"))).alias("taken"))
     won = branch.groupBy("group_id", "axis").agg(F.min(F.struct("t", "branch", "taken")).alias("w"))
     return won.select("group_id", F.inline("w.taken"))
