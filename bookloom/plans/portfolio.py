@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from bookloom.functions import scoring as S
 from bookloom.operators import buckets, closure
 from bookloom.operators.graph import components
-from bookloom.operators.select import frontier, select_portfolio
+from bookloom.operators.select import select_portfolio
 from bookloom.session import materialize
 from bookloom.sources.tables import table
 
@@ -113,9 +113,8 @@ def run_changes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def portfolio_select(spark: SparkSession, folder: str) -> DataFrame:
-    """The portfolio of each corpus under the budget of its files."""
+    """The portfolio of each corpus under the budget of its files, and why each other work is not in it."""
     d = _prepared(spark, folder)
-    d = frontier(d, [F.col("mustInclude").desc(), F.col("static").desc(), F.col("id")])
     rows = d.select(
         "corpus", "id", F.coalesce("title", F.lit("")).alias("title"), F.coalesce("creatorKey", F.lit("unknown")).alias("creator"), "static", "priority", S.role_weight(F.col("role")).alias("role"), F.col("relevanceScore").alias("relevance"), F.col("mustInclude").alias("must"),
         F.lit(0.0).alias("damage"), (F.col("selectionSizeTokens") * TOKEN_BYTES).alias("bytes"), F.col("selectionSizeTokens").alias("tokens"), F.col("authorSoftMaximum").cast("double").alias("cap"), F.col("bundleLikeOrigin").alias("bundle"),
