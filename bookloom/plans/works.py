@@ -7,11 +7,15 @@ from pyspark.sql import functions as F
 
 from bookloom.functions import keys as K
 from bookloom.operators.graph import components, star_edges
+from bookloom.operators.matching import assign_once
+from bookloom.session import materialize
 from bookloom.sources.tables import table
 
 # File formats from the preferred to the least, and traces of copies in a path.
 FORMATS = [".md", ".epub", ".pdf"]
 COPY = r"(?i)(?:\bcopy\b|\(\d+\)|download)"
+#: Scans before this time make up the earlier snapshot.
+EARLIER = "2024-10-01"
 
 
 def format_rank(extension: Column) -> Column:
@@ -19,9 +23,11 @@ def format_rank(extension: Column) -> Column:
     return F.coalesce(*[F.when(F.lower(extension) == f, i) for i, f in enumerate(FORMATS)], F.lit(len(FORMATS)))
 
 
-def files(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per file id: the latest scan."""
+def files(spark: SparkSession, folder: str, before: str | None = None) -> DataFrame:
+    """One row per file id: the latest scan, of those before a time if one is given."""
     rows = table(spark, folder, "inventory_files")
+    if before:
+        rows = rows.where(F.col("scannedAt") < F.lit(before).cast("timestamp"))
     keep = ["relativePath", "extension", "size", "sha256", "workHintKey", "metadata", "hints"]
     return rows.where("id IS NOT NULL").groupBy("id").agg(F.max(F.struct("scannedAt", *keep)).alias("r")).select("id", *[F.col(f"r.{c}").alias(c) for c in keep])
 
@@ -61,7 +67,10 @@ def useful_fields(spark: SparkSession, folder: str) -> DataFrame:
 
 def file_components(spark: SparkSession, folder: str) -> DataFrame:
     """Files of one work: tied, also through others, by equal bytes or an equal key of author and title."""
-    rows = files(spark, folder)
+    return _candidates(files(spark, folder))
+
+
+def _candidates(rows: DataFrame) -> DataFrame:
     keyed = rows.where("sha256 IS NOT NULL").select(F.col("id").alias("node"), F.concat(F.lit("s:"), "sha256").alias("key"))
     keyed = keyed.unionByName(rows.where("workHintKey <> ''").select(F.col("id").alias("node"), F.concat(F.lit("k:"), "workHintKey").alias("key")))
     tied = components(star_edges(keyed)).select(F.col("node").alias("id"), "component")
@@ -79,7 +88,7 @@ def best_variant(spark: SparkSession, folder: str) -> DataFrame:
 def snapshot_reuse(spark: SparkSession, folder: str) -> DataFrame:
     """Files of the later scans against the earlier ones: new, changed or unchanged in size and time."""
     rows = table(spark, folder, "inventory_files").where("id IS NOT NULL").select("id", "size", "mtimeMs", "scannedAt", F.year("scannedAt").alias("y"), F.month("scannedAt").alias("m"))
-    early = F.col("scannedAt") < F.lit("2024-10-01").cast("timestamp")
+    early = F.col("scannedAt") < F.lit(EARLIER).cast("timestamp")
     last = lambda d: d.groupBy("id").agg(F.max(F.struct("scannedAt", "size", "mtimeMs")).alias("r")).select("id", F.col("r.size").alias("size"), F.col("r.mtimeMs").alias("mtime"))
     old, new = last(rows.where(early)), last(rows.where(~early))
     joined = new.join(old.select("id", F.col("size").alias("s0"), F.col("mtime").alias("m0")), "id", "left")
@@ -88,13 +97,18 @@ def snapshot_reuse(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def previous_ids(spark: SparkSession, folder: str) -> DataFrame:
-    """For each candidate of all files the candidate of the earlier half it shares most files with; each is used once, by the largest share."""
-    now = file_components(spark, folder)
-    before = now.where(F.pmod(F.xxhash64("id"), F.lit(2)) == 0)
-    names = before.groupBy("candidate").agg(F.min("id").alias("previous"))
-    shared = before.join(names, "candidate").groupBy("candidate", "previous").agg(F.count(F.lit(1)).alias("files"))
-    best = shared.groupBy("previous").agg(F.min(F.struct((-F.col("files")).alias("n"), "candidate")).alias("b"))
-    return best.select(F.col("b.candidate").alias("candidate"), "previous", (-F.col("b.n")).alias("files"))
+    """For each candidate of all files the candidate of the earlier snapshot whose id it keeps, and the files they share; null and 0 where it keeps none.
+
+    Candidates come in the order of their first paths; each takes the id it
+    shares most files with (the smaller id if equal) of those not yet taken.
+    """
+    rows = materialize(files(spark, folder).select("id", "relativePath", "sha256", "workHintKey"), "files")
+    now = materialize(rows.select("id", "relativePath").join(_candidates(rows), "id"), "now")
+    before = _candidates(files(spark, folder, EARLIER)).select("id", F.col("candidate").alias("previous"))
+    order = now.groupBy("candidate").agg(F.min(F.struct("relativePath", "id")).alias("place"))
+    shared = now.join(before, "id").groupBy("candidate", "previous").agg(F.count(F.lit(1)).alias("files")).join(order, "candidate")
+    kept = assign_once(shared, "candidate", "previous", "files", "place")
+    return order.select("candidate").join(kept, "candidate", "left").select("candidate", "previous", F.coalesce("files", F.lit(0)).alias("files"))
 
 
 def _confidence(column: str) -> Column:
