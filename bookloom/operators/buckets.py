@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from bookloom.session import materialize
 
 
 def fill(units: list[dict], byte_limit: float, token_limit: float) -> list[list[dict]]:
@@ -27,27 +30,38 @@ def fill(units: list[dict], byte_limit: float, token_limit: float) -> list[list[
 
 def fill_within(units: list[dict], byte_limit: float, token_limit: float, most: int) -> tuple[list[list[dict]], list[str]]:
     """Files, no more than ``most``, and the works evicted for it: the lowest score, priority, and most tokens first."""
-    gone: list[str] = []
-    files = fill(units, byte_limit, token_limit)
-    while len(files) > most:
-        works: dict[str, list] = {}
-        for u in units:
-            w = works.setdefault(u["id"], [u["score"], u["priority"], 0, u["id"]])
-            w[2] -= u["tokens"]
-        worst = min(works.values())[3]
-        gone.append(worst)
-        units = [u for u in units if u["id"] != worst]
-        files = fill(units, byte_limit, token_limit)
-    return files, gone
+    works: dict[str, list] = {}
+    for u in units:
+        w = works.setdefault(u["id"], [u["score"], u["priority"], 0, u["id"], 0, 0])
+        w[2] -= u["tokens"]
+        w[4] += min(u["bytes"], byte_limit)
+        w[5] += min(u["tokens"], token_limit)
+    order = sorted(works.values())
+    size, tokens = (sum(w[k] for w in order) for k in (4, 5))
+    for k in range(len(order) + 1):
+        # what exceeds all files together needs no trial
+        if size <= most * byte_limit and tokens <= most * token_limit:
+            gone = {w[3] for w in order[:k]}
+            files = fill([u for u in units if u["id"] not in gone], byte_limit, token_limit)
+            if len(files) <= most:
+                break
+        size, tokens = size - order[k][4], tokens - order[k][5]
+    return files, [w[3] for w in order[:k]]
 
 
 def pack_files(units: DataFrame, byte_limit: float, token_limit: float, most: int) -> DataFrame:
     """(corpus, id, unit, file, reason): the file of every unit, numbered by its smallest title; null and a reason for evicted works.
 
     ``units``: corpus, id, unit, title, score, priority, bytes, tokens; no unit
-    may exceed a limit.  A corpus's files are few by definition, so its chosen
-    units are one task.
+    may exceed a limit.  Works that all files together cannot hold beside those
+    evicted after them are evicted beforehand; the units that reach a corpus's
+    one Python task are at most what its files hold.
     """
+    works, order = Window.partitionBy("corpus", "id"), [F.col("score").desc(), F.col("priority").desc(), F.col("_t"), F.col("id").desc()]
+    to_here = Window.partitionBy("corpus").orderBy(*order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = [F.sum(F.least(F.col(c), F.lit(limit))).over(to_here) <= most * limit for c, limit in (("bytes", byte_limit), ("tokens", token_limit))]
+    held = materialize(units.withColumn("_t", F.sum("tokens").over(works)).withColumn("_held", sums[0] & sums[1]).drop("_t"), "units")
+    early = held.where("NOT _held").select("corpus", "id", F.col("unit").cast("bigint").alias("unit"), F.lit(None).cast("bigint").alias("file"), F.lit("bin_packing_capacity").alias("reason"))
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = pdf.to_dict("records")
@@ -55,9 +69,11 @@ def pack_files(units: DataFrame, byte_limit: float, token_limit: float, most: in
         files.sort(key=lambda f: min((u["title"], u["id"], u["unit"]) for u in f))
         corpus = pdf["corpus"].iloc[0]
         out = [(corpus, u["id"], u["unit"], k, "packed") for k, f in enumerate(files, 1) for u in f]
-        out += [(corpus, u["id"], u["unit"], None, "bin_packing_capacity") for u in rows if u["id"] in set(gone)]
+        gone = set(gone)
+        out += [(corpus, u["id"], u["unit"], None, "bin_packing_capacity") for u in rows if u["id"] in gone]
         frame = pd.DataFrame(out, columns=["corpus", "id", "unit", "file", "reason"])
         frame["file"] = frame["file"].astype("Int64")
         return frame
 
-    return units.groupBy("corpus").applyInPandas(pack, "corpus string, id string, unit bigint, file bigint, reason string")
+    packed = held.where("_held").drop("_held").groupBy("corpus").applyInPandas(pack, "corpus string, id string, unit bigint, file bigint, reason string")
+    return packed.unionByName(early)

@@ -14,6 +14,8 @@ from bookloom.sources.tables import table
 
 #: Budget of one file: bytes and tokens; files of a corpus; bytes of a token before conversion.
 FILE_BYTES, FILE_TOKENS, FILES, TOKEN_BYTES = 11_010_048, 1_700_000, 18, 4
+#: Priority of a work without one.
+PRIORITY = 50
 
 _KEEP = ["title", "author", "corpus", "relevanceScore", "priorityScore", "comparativePriority", "portfolioRole", "authorRank", "creatorKey", "creatorWorkCount", "bundleLikeOrigin", "canonicalWorkId", "containsWorkIds", "containedByWorkIds", "topicKeys", "standaloneValue", "mustInclude", "authorSoftMaximum", "selectionSizeTokens"]
 
@@ -124,12 +126,14 @@ def portfolio_select(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def file_packing(spark: SparkSession, folder: str) -> DataFrame:
-    """Book units of each corpus packed into files of 64 KiB and 12,000 tokens, six at most."""
+    """Book units of each corpus packed into its files; where those do not hold all, works go by their score in the portfolio, then priority; 0 and ``PRIORITY`` without a decision."""
     u = table(spark, folder, "book_units").where("workId IS NOT NULL AND content IS NOT NULL")
-    one = u.groupBy("workId", "unitIndex").agg(F.max(F.struct("loadedAt", "corpus", "title", "content")).alias("r"))
+    one = u.groupBy(F.col("workId").alias("id"), "unitIndex").agg(F.max(F.struct("loadedAt", "corpus", "title", "content")).alias("r"))
     size = F.octet_length("r.content")
-    rows = one.select(F.coalesce("r.corpus", F.lit("null")).alias("corpus"), F.col("workId").alias("id"), F.col("unitIndex").cast("bigint").alias("unit"), F.coalesce("r.title", F.lit("")).alias("title"), F.lit(0.0).alias("score"), F.lit(0).alias("priority"), size.alias("bytes"), F.ceil(size / TOKEN_BYTES).alias("tokens"))
-    return buckets.pack_files(rows, 65_536, 16_384, 6)
+    priority = decisions(spark, folder).select("id", F.coalesce("comparativePriority", "priorityScore").alias("priority"))
+    valued = one.join(portfolio_select(spark, folder).select("id", "score"), "id", "left").join(priority, "id", "left")
+    rows = valued.select(F.coalesce("r.corpus", F.lit("null")).alias("corpus"), "id", F.col("unitIndex").cast("bigint").alias("unit"), F.coalesce("r.title", F.lit("")).alias("title"), F.coalesce("score", F.lit(0.0)).alias("score"), F.coalesce("priority", F.lit(PRIORITY)).alias("priority"), size.alias("bytes"), F.ceil(size / TOKEN_BYTES).alias("tokens"))
+    return buckets.pack_files(rows, FILE_BYTES, FILE_TOKENS, FILES)
 
 
 def creator_batches(spark: SparkSession, folder: str) -> DataFrame:

@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from bookloom.operators import buckets
 from bookloom.operators.select import choose, select_portfolio
+from bookloom.plans import portfolio
 
 DATA = Path("/root/testdata/sf0.001")
 _WORK = "corpus string, id string, title string, creator string, static double, priority int, role int, relevance int, must boolean, damage double, bytes bigint, tokens bigint, cap double, bundle boolean, topics array<string>, content array<string>"
@@ -43,3 +45,44 @@ def test_every_work_of_a_large_corpus_has_a_row(spark, tmp_path):
     out = entry.queries()["portfolio_select"](spark, str(tmp_path)).select("id", "reason").collect()
     assert len(out) == len({r["id"] for r in out}) == many.select("id").distinct().count() > 10_000
     assert all(r["reason"] for r in out)
+
+
+def _plain(units, byte_limit, token_limit, most):
+    gone = set()
+    while len(buckets.fill(left := [u for u in units if u["id"] not in gone], byte_limit, token_limit)) > most:
+        gone.add(min((u["score"], u["priority"], -sum(x["tokens"] for x in left if x["id"] == u["id"]), u["id"]) for u in left)[3])
+    return gone
+
+
+def test_eviction_is_by_score_priority_and_tokens(spark):
+    r = random.Random(7)
+    works = {(c, f"w{i:02d}"): (float(r.randrange(4)), r.randrange(3)) for c in "xy" for i in range(40)}
+    units = [{"corpus": c, "id": i, "unit": k, "title": f"t {i}", "score": s, "priority": p, "bytes": (b := r.randrange(5, 60)), "tokens": b // 2 + r.randrange(9)} for (c, i), (s, p) in works.items() for k in range(1, r.randrange(2, 4))]
+    columns = "corpus string, id string, unit bigint, title string, score double, priority int, bytes int, tokens bigint"
+    rows = buckets.pack_files(spark.createDataFrame([tuple(u.values()) for u in units], columns), 100, 60, 7).collect()
+    assert sorted((x["corpus"], x["id"], x["unit"]) for x in rows) == sorted((u["corpus"], u["id"], u["unit"]) for u in units)
+    for c in "xy":
+        own = [u for u in units if u["corpus"] == c]
+        assert {x["id"] for x in rows if x["corpus"] == c and x["reason"] == "bin_packing_capacity"} == _plain(own, 100, 60, 7)
+        assert {x["file"] for x in rows if x["corpus"] == c} - {None} == set(range(1, 8))
+
+
+@pytest.mark.skipif(not DATA.exists(), reason="no test tables")
+def test_file_packing_has_the_files_real_capacity(spark, tmp_path):
+    spark.read.parquet(str(DATA / "curated_works.parquet")).write.parquet(str(tmp_path / "curated_works.parquet"))
+    units = spark.read.parquet(str(DATA / "book_units.parquet"))
+    many = units.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(200)))).withColumn("workId", F.concat_ws("-", "workId", "n")).drop("n")
+    many.write.parquet(str(tmp_path / "book_units.parquet"))
+    assert {r["reason"] for r in entry.queries()["file_packing"](spark, str(tmp_path)).select("reason").distinct().collect()} == {"packed"}
+
+
+@pytest.mark.skipif(not DATA.exists(), reason="no test tables")
+def test_file_packing_evicts_the_lowest_scores(spark, monkeypatch):
+    score = {r["id"]: r["score"] for r in portfolio.portfolio_select(spark, str(DATA)).collect()}
+    monkeypatch.setattr(portfolio, "FILE_BYTES", 9_000)
+    monkeypatch.setattr(portfolio, "FILES", 1)
+    rows = portfolio.file_packing(spark, str(DATA)).collect()
+    assert {r["reason"] for r in rows} == {"packed", "bin_packing_capacity"}
+    for corpus in {r["corpus"] for r in rows}:
+        kept, gone = ([score.get(r["id"], 0.0) for r in rows if r["corpus"] == corpus and (r["file"] is not None) == x] for x in (True, False))
+        assert not kept or not gone or max(gone) <= min(kept)
