@@ -8,6 +8,7 @@ over arrays of code points, many documents at a time.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -57,6 +58,14 @@ START = {
     "tangled": ([0.998, 0.002], [0.995, 0.005], [0.995, 0.005], [0.65, 0.35]),
 }
 
+#: Flags: bytes and words of a useful text, and characters looked at on either end.
+LEAST_BYTES, LEAST_WORDS, SAMPLE = 2000, 300, 5000
+# Traces of wrong decoding, of other books' praise in front and of advertising at the end.
+_SIGNALS = re.compile("ï¿½|â€|Ã[^\n\r\u2028\u2029]|\ufffd")
+_SIGNAL_PARTS = ["ï¿½", "â€", "Ã", "\ufffd"]
+_NOISE = ["praise for", "promotional download"]
+_MARKETING = ["what's next on your reading list", "what’s next on your reading list", "also of interest"]
+
 _LETTER, _UPPER, _DIGIT, _SPACE, _SYMBOL, _COMMA, _END, _CLOSE, _TAB, _SEMI, _SLASH, _BULLET, _LEAD, _ODD = (1 << i for i in range(14))
 
 
@@ -299,11 +308,24 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED
 
 
 SCHEMA = (
-    "doc_id bigint, words bigint, replacementCharacters bigint, chars bigint, lines bigint, meanWordLength double, symbolRatio double, digitRatio double, endShare double, "
+    "doc_id bigint, bytes bigint, words bigint, replacementCharacters bigint, flags array<string>, chars bigint, lines bigint, meanWordLength double, symbolRatio double, digitRatio double, endShare double, "
     "commonShare double, mojibakeSignals bigint, proseShare double, listShare double, tableShare double, junkShare double, kind string"
 )
 
 
+def flags(text: str, size: int, words: int) -> list[str]:
+    """What an audit notes of a text; samples are counted in UTF-16 units."""
+    first = text[:SAMPLE].encode("utf-16-le", "surrogatepass")[: 2 * SAMPLE].decode("utf-16-le", "ignore")
+    last = text[-SAMPLE:].encode("utf-16-le", "surrogatepass")[-2 * SAMPLE :].decode("utf-16-le", "ignore")
+    has = lambda sample, phrases: any(p in sample for p in phrases)
+    signals = len(_SIGNALS.findall(text)) if has(text, _SIGNAL_PARTS) else 0
+    found = {
+        "too_small": size < LEAST_BYTES, "too_few_words": words < LEAST_WORDS, "heavy_mojibake": signals > max(20, words / 500),
+        "frontmatter_noise": has(first.lower(), _NOISE), "endmatter_marketing": has(last.lower(), _MARKETING),
+    }
+    return [name for name, holds in found.items() if holds]
+
+
 def quality(docs: DataFrame, model: LineModel) -> DataFrame:
     """One row per document: measures, the share of each line label by characters, and the document's kind.
 
@@ -330,6 +352,8 @@ def quality(docs: DataFrame, model: LineModel) -> DataFrame:
                 shares /= np.maximum(sums, 1)[:, None]
                 for i, label in enumerate(LABELS):
                     rows[f"{label}Share"] = shares[:, i]
+                rows["bytes"] = [len(x.encode("utf-8", "surrogatepass")) for x in texts[lo:hi]]
+                rows["flags"] = [flags(*x) for x in zip(texts[lo:hi], rows["bytes"], rows["words"])]
                 rows["kind"] = np.where(sums > 0, np.array(LABELS)[shares.argmax(axis=1)], "empty")
                 out.append(rows)
                 lo = hi
@@ -338,7 +362,7 @@ def quality(docs: DataFrame, model: LineModel) -> DataFrame:
                 rows.insert(0, "doc_id", ids.to_numpy(zero_copy_only=False))
                 yield pa.RecordBatch.from_pandas(rows, schema=arrow, preserve_index=False)
 
-    kinds = {"bigint": pa.int64(), "double": pa.float64(), "string": pa.string()}
+    kinds = {"bigint": pa.int64(), "double": pa.float64(), "string": pa.string(), "array<string>": pa.list_(pa.string())}
     arrow = pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in SCHEMA.split(", ")])
     rows = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     return rows.mapInArrow(measured, SCHEMA)
@@ -350,3 +374,20 @@ def stale_audits(measured: DataFrame, audit: DataFrame) -> DataFrame:
     joined = measured.select("doc_id", "words", "replacementCharacters").join(rows, "doc_id")
     differs = [F.coalesce(F.col(old) != F.col(new), F.lit(False)) for old, new in (("w", "words"), ("r", "replacementCharacters"))]
     return joined.where(differs[0] | differs[1]).select("doc_id").distinct()
+
+
+#: Measures an audit row states.
+AUDITED = ["bytes", "words", "replacementCharacters", "flags"]
+
+
+def audit_differences(measured: DataFrame, audit: DataFrame) -> DataFrame:
+    """Every distinct audit row, the measures of its document's text, and in ``differs`` the names of those it has wrong.
+
+    Nulls of the audit differ from nothing, flags are compared as sets;
+    ``differs`` is null for a row about no document.
+    """
+    rows = audit.select("doc_id", "auditedAt", *AUDITED).distinct()
+    texts = measured.select("doc_id", F.lit(True).alias("found"), *[F.col(c).alias(f"text_{c}") for c in AUDITED]).distinct()
+    same = {c: F.col(c) == F.col(f"text_{c}") for c in AUDITED} | {"flags": F.array_sort(F.array_distinct("flags")) == F.array_sort("text_flags")}
+    differs = F.array_compact(F.array(*[F.when(~same[c], c) for c in AUDITED]))
+    return rows.join(texts, "doc_id", "left").withColumn("differs", F.when(F.col("found"), differs)).drop("found")

@@ -74,6 +74,10 @@ def p6_quality(spark: SparkSession, folder: str) -> DataFrame:
     return _quality(spark, folder)
 
 
+def p6_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.audit_differences(_quality(spark, folder), table(spark, folder, "quality_audit"))
+
+
 def p7_containers(spark: SparkSession, folder: str) -> DataFrame:
     return pack.pack(table(spark, folder, "documents").select("doc_id", "corpus", "text"), table(spark, folder, "upload_limits"))
 
@@ -105,5 +109,5 @@ def p9_shared_part(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of this subpackage by its name."""
-    found = [p1_found, p1_classes, p2_found, p2_repaired, p3_found, p3_golden_records, p4_found, p4_stratified_cap, p5_found, p5_pieces, p6_found, p6_quality, p7_containers, p7_certificate, p8_mix, p8_shares, p9_found, p9_shared_part]
+    found = [p1_found, p1_classes, p2_found, p2_repaired, p3_found, p3_golden_records, p4_found, p4_stratified_cap, p5_found, p5_pieces, p6_found, p6_quality, p6_audit, p7_containers, p7_certificate, p8_mix, p8_shares, p9_found, p9_shared_part]
     return {f.__name__: f for f in found}
