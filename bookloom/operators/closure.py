@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bookloom.session import materialize
+from bookloom.session import materialize, release
 
 
 class ContainmentCycle(ValueError):
@@ -39,6 +39,7 @@ def closure(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
         step = paths.select("whole", F.col("part").alias("mid")).join(paths.select(F.col("whole").alias("mid"), "part"), "mid").select("whole", "part")
         longer = materialize(paths.unionByName(step).distinct(), "paths")
         grown = longer.count()
+        release(paths)
         if grown == size:
             return longer
         paths, size = longer, grown

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bookloom.session import materialize
+from bookloom.session import materialize, release
 
 #: A key held by many records is tied in two steps, through this many sub-keys.
 SALTS = 64
@@ -44,11 +44,15 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
     for _ in range(max_rounds):
         near = both.join(labels.select(F.col("u").alias("v"), F.col("c").alias("d")), "v").groupBy("u").agg(F.min("d").alias("d"))
         moved = labels.join(near, "u").select("u", "c", F.least("c", "d").alias("d"))
-        far = labels.select(F.col("u").alias("d"), F.col("c").alias("e"))
-        stepped = materialize(moved.join(far, "d").select("u", F.least("d", "e").alias("c"), (F.least("d", "e") != F.col("c")).cast("int").alias("changed")), "labels")
-        labels = stepped.select("u", "c")
+        # late in the run most nodes have one label, and only labels that are no root can jump on; roots are left out of the join
+        jumps = labels.where("u != c").select(F.col("u").alias("d"), F.col("c").alias("e"))
+        new = F.least("d", "e")
+        stepped = materialize(moved.where("d != u").join(jumps, "d", "left").select("u", new.alias("c"), (new != F.col("c")).cast("int").alias("changed")).unionByName(moved.where("d = u").select("u", F.col("d").alias("c"), (F.col("d") != F.col("c")).cast("int").alias("changed"))), "labels")
+        release(labels)
+        labels = stepped
         if not stepped.where("changed = 1").limit(1).count():
-            return labels.select(F.col("u").alias("node"), F.col("c").alias("component"))
+            release(both)
+            return stepped.select(F.col("u").alias("node"), F.col("c").alias("component"))
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 

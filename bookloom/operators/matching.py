@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bookloom.session import materialize
+from bookloom.session import materialize, release
 
 
 def assign_once(pairs: DataFrame, taker: str, item: str, weight: str, place: str) -> DataFrame:
@@ -24,4 +24,5 @@ def assign_once(pairs: DataFrame, taker: str, item: str, weight: str, place: str
         rest, n = materialize(rest, "pairs"), left.count()
         if rest.count() == n:
             return held.select(F.col("h.t").alias(taker), item, F.col("h.w").alias(weight))
+        release(left, held)
         left = rest

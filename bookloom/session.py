@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -31,9 +32,14 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, **conf:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or one of our own where that is unset."""
+    """The folder all executors share: ``spark.checkpoint.dir``; where that is unset, one of our own, on a local master only.
+
+    On a cluster a folder of this machine would be out of the executors' reach, so an unset one is an error there.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="bookloom-")
         atexit.register(shutil.rmtree, named[7:], ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", named)
@@ -44,11 +50,22 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
     The written table cuts the lineage, survives the loss of executors, and is
-    deleted when the driver's JVM ends.
+    deleted by :func:`release`, else when the driver's JVM ends.
     """
     spark = df.sparkSession
     path = os.path.join(shared_folder(spark), f"bookloom-{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(jvm_path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables written by :func:`materialize` that nothing reads any more; others are left alone."""
+    for df in tables:
+        if path := getattr(df, "_written", None):
+            jvm_path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            jvm_path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(jvm_path, True)
+            df._written = None

@@ -118,3 +118,32 @@ def test_packing_keeps_limits_and_evicts_the_lowest():
     files, gone = buckets.fill_within(units, 100, 100, 3)
     assert len(files) == 3 and gone == ["w0", "w1"]
     assert all(sum(u["bytes"] for u in f) <= 100 for f in files)
+
+
+def test_written_tables_are_released_and_need_a_shared_folder(spark):
+    import os
+    from types import SimpleNamespace
+
+    from bookloom.session import materialize, release, shared_folder
+
+    df = materialize(spark.range(3), "gone")
+    path = df._written
+    assert os.path.isdir(path.removeprefix("file://"))
+    release(df, spark.range(1))
+    assert not os.path.isdir(path.removeprefix("file://"))
+    unset = SimpleNamespace(get=lambda *_: None)
+    cluster = SimpleNamespace(conf=unset, sparkContext=SimpleNamespace(master="spark://head:7077", getConf=lambda: unset))
+    with pytest.raises(RuntimeError, match="shared|share"):
+        shared_folder(cluster)
+
+
+def test_entry_outlives_a_missing_module(monkeypatch):
+    import sys
+
+    import __spark_entry__ as entry
+
+    for name in [m for m in sys.modules if m.startswith("bookloom.llm")]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "xxhash", None)
+    names = set(entry.queries())
+    assert "usable_documents" in names and not any(n.startswith("p9") for n in names)
