@@ -2,11 +2,16 @@
 
 Lines of a unit are first told apart: running text, running headers, page
 numbers, the converter's page marks, headings.  Skip-gram vectors are learnt on
-the running text of all units.  Rare words are linked to frequent words that
-differ by glyph edits a scanner makes (``rn`` for ``m``, ``1`` for ``l``, a lost
-character), every link is weighed in the context of each occurrence by the
-vectors, furniture is removed, words cut at line ends are joined, and the lines
-are reflowed into paragraphs.
+the running text of all units: a word's vector holds, for each of ``BUCKETS``
+buckets of context words, the pointwise mutual information of the two, which is
+what the product of a word's and a context's vector comes to when skip-grams are
+trained to the end (Levy and Goldberg, 2014).  It is made of counts, so it needs
+no passes over the data and no state on the driver.  A rare word is linked to a
+frequent one where a scanner may have misread it (``rn`` for ``m``, ``1`` for
+``l``, a lost character) and the frequent word's vector expects the company the
+rare word keeps.  Every link is weighed again in the context of each occurrence,
+furniture is removed, words cut at line ends are joined, and the lines are
+reflowed into paragraphs.
 """
 
 from __future__ import annotations
@@ -14,11 +19,12 @@ from __future__ import annotations
 import difflib
 import re
 import unicodedata
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import Word2Vec
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,14 +33,16 @@ from bookloom.session import materialize
 
 #: A word is rare beside another that is this many times as frequent.
 TIMES = 8
-#: The same for words of up to four characters, which are more often alike by chance.
-TIMES_SHORT = 30
 #: Least count of a word that others are corrected to.
 FREQUENT = 4
-#: Size and window of the skip-gram vectors.
-VECTOR, WINDOW = 24, 3
-#: Least mean cosine between a word and the context it is put into, unless the misread word holds a sign no word has.
-FIT = -0.2
+#: Buckets of context words, which bound a vector's length, and words on either side that are context.
+BUCKETS, WINDOW = 4096, 3
+#: Context words seen beforehand with every word, each as often as chance has it, so that few counts say little.
+BEFORE = 20
+#: What each letter of a word adds to the evidence that its likeness to another is no chance.
+LETTER = 0.5
+#: Tokens whose pairs are counted in one array.
+CHUNK = 1 << 20
 
 # Signs that scanners put for a letter.
 SIGNS = {"0": "o", "1": "l", "!": "i", "|": "l", "9": "g", "+": "t", "8": "b", "6": "e", "3": "a", "5": "s", "$": "s", "ſ": "s"}
@@ -58,10 +66,14 @@ _EDGES = "\"'.,;:?!“”„‘’()[]{}<>«»–—…*_~`#"
 _NOTE = re.compile(r"\[\d+\]")
 
 
+_SIGNS = str.maketrans(SIGNS | dict.fromkeys("!|+$"))
+_NO_WORD = re.compile(r"[\W_]+")
+
+
 def plain(text: str) -> str:
     """Letters and digits only, marks stripped, scanner signs replaced; spaced-out letters become one string."""
-    flat = "".join(SIGNS.get(c, c) for c in text.lower() if c not in "!|+$")
-    return "".join(c for c in unicodedata.normalize("NFD", flat) if c.isalnum())
+    flat = text.lower().translate(_SIGNS)
+    return _NO_WORD.sub("", flat if flat.isascii() else unicodedata.normalize("NFD", flat))
 
 
 def skeletons(word: str) -> list[str]:
@@ -91,6 +103,23 @@ def page_value(text: str) -> int:
     return total if re.fullmatch(r"m*(?:cm|cd|d?c{0,3})(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})", text.lower()) else -1
 
 
+class Form:
+    """A text that lines are compared with, as a whole or by its beginning."""
+
+    def __init__(self, text: str) -> None:
+        self.text = text
+        self._matchers: dict[int, difflib.SequenceMatcher] = {}
+
+    def like(self, p: str, least: float, most: int | None = None) -> bool:
+        """Whether ``p`` and the first ``most`` characters are alike to at least ``least``."""
+        size = len(self.text) if most is None else most
+        m = self._matchers.get(size)
+        if m is None:
+            m = self._matchers[size] = difflib.SequenceMatcher(None, "", self.text[:size], autojunk=False)
+        m.set_seq1(p)
+        return m.real_quick_ratio() >= least and m.quick_ratio() >= least and m.ratio() >= least
+
+
 def header_forms(author: str | None, title: str | None) -> list[str]:
     """What a running header of the book may say, as :func:`plain` text."""
     author, title = author or "", title or ""
@@ -102,17 +131,18 @@ def header_forms(author: str | None, title: str | None) -> list[str]:
     return [f for f in dict.fromkeys(plain(p) for p in [*parts, *both]) if len(f) >= 4]
 
 
-def says_header(text: str, forms: list[str]) -> bool:
+def says_header(text: str, forms: list[Form]) -> bool:
     """Whether a line is one of the forms, the beginning of one, or one with a few glyphs misread."""
     p = plain(text)
     if len(p) < 6:
-        return p in forms
+        return any(p == f.text for f in forms)
     for f in forms:
-        if f.startswith(p) and len(p) >= min(len(f), 10):
+        size = len(f.text)
+        if f.text.startswith(p) and len(p) >= min(size, 10):
             return True
-        if abs(len(p) - len(f)) <= 3 and difflib.SequenceMatcher(None, p, f, autojunk=False).ratio() >= 0.85:
+        if abs(len(p) - size) <= 3 and f.like(p, 0.85):
             return True
-        if len(f) > len(p) >= 10 and difflib.SequenceMatcher(None, p, f[: len(p)], autojunk=False).ratio() >= 0.88:
+        if size > len(p) >= 10 and f.like(p, 0.88, len(p)):
             return True
     return False
 
@@ -125,7 +155,7 @@ def line_kinds(lines: list[str], author: str | None, title: str | None) -> list[
     the unit, or stands beside a header or at an end of the unit.  Undressed
     numbers that follow one another are figures of the text.
     """
-    forms = header_forms(author, title)
+    forms = [Form(f) for f in header_forms(author, title)]
     stripped = [x.strip() for x in lines]
     kinds = ["text" if s else "blank" for s in stripped]
     seen: dict[str, int] = {}
@@ -179,23 +209,27 @@ def line_kinds(lines: list[str], author: str | None, title: str | None) -> list[
     return kinds
 
 
+_WORDLIKE = re.compile(r"[^\W\d_]|�")
+
+
 def words_of(text: str) -> list[str]:
     """The words of a line without the signs around them, lower-cased; those without a letter are dropped."""
     out = []
-    for raw in _TOKEN.findall(_NOTE.sub(" ", text)):
+    for raw in _NOTE.sub(" ", text).split() if "[" in text else text.split():
         w = raw.strip(_EDGES).rstrip(HYPHENS).lower()
-        if any(c.isalpha() for c in w) or "�" in w:
+        if _WORDLIKE.search(w):
             out.append(w)
     return out
 
 
 def unit_lines(content: str, author: str | None, title: str | None) -> list[tuple]:
-    """(lineNo, kind, tokens, splits, headLength, tail, next) of each line that is not blank.
+    """(lineNo, kind, tokens, splits, headLength, tail, next, before, after) of each line that is not blank.
 
     ``splits``: the line ends with a hyphen inside a word; its last token is then
     the whole word, ``headLength`` characters of which are on this line, and the
     next text line begins after it.  ``tail`` and ``next`` are the words on
-    either side of a line end without a hyphen.
+    either side of a line end without a hyphen.  ``before`` and ``after`` are
+    the words of other text lines next to this one.
     """
     lines = content.split("\n")
     kinds = line_kinds(lines, author, title)
@@ -224,11 +258,17 @@ def unit_lines(content: str, author: str | None, title: str | None) -> list[tupl
             if following:
                 tail, head = tokens[-1], following[0]
         rows.append((i + 1, "text", tokens, splits, length, tail, head))
-    rows += [(i + 1, k, [], False, 0, None, None) for i, k in enumerate(kinds) if k in ("running_header", "page_number")]
+    made = [(r[2], [], []) for r in rows]
+    for (_, _, near), (words, _, _) in zip(made[1:], made):
+        near += words[-WINDOW:]
+    for (_, near, _), (words, _, _) in zip(made, made[1:]):
+        near += words[:WINDOW]
+    rows = [(*r, near, far) for r, (_, far, near) in zip(rows, made)]
+    rows += [(i + 1, k, [], False, 0, None, None, [], []) for i, k in enumerate(kinds) if k in ("running_header", "page_number")]
     return rows
 
 
-LINES = "workId string, unitIndex bigint, lineNo int, kind string, tokens array<string>, splits boolean, headLength int, tail string, next string"
+LINES = "workId string, unitIndex bigint, lineNo int, kind string, tokens array<string>, splits boolean, headLength int, tail string, next string, before array<string>, after array<string>"
 
 
 def scanned_lines(units: DataFrame) -> DataFrame:
@@ -269,66 +309,124 @@ def glyph_links(counts: DataFrame) -> DataFrame:
     keys = materialize(glyph_keys(counts), "glyphs")
     rare = keys.where("NOT wild").select("key", "word", "n").withColumn("odd", F.col("word").rlike(r"[0-9!|+$ſ\x{FFFD}]"))
     good = keys.where(F.col("n") >= FREQUENT).where(F.col("word").rlike(r"^[\p{L}'’\-]+$") & ~F.col("word").contains("ſ")).select("key", F.col("word").alias("better"), F.col("n").alias("m"))
-    times = F.when(F.length("word") <= 4, TIMES_SHORT).otherwise(TIMES)
     near = F.levenshtein("word", "better")
     close = (F.col("word") != F.col("better")) & (near <= 4) & (near * 2 <= F.length("better") + 1)
-    return rare.join(good, "key").where(close & (F.col("odd") | (F.col("m") >= F.col("n") * times))).select("word", "better", "n", "m", "odd").distinct()
+    return rare.join(good, "key").where(close & (F.col("odd") | (F.col("m") >= F.col("n") * TIMES))).select("word", "better", "n", "m", "odd").distinct()
+
+
+def bucket(word: str) -> int:
+    """The bucket of a context word; Spark's ``crc32`` gives the same."""
+    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % BUCKETS
 
 
-def in_context(lines: DataFrame, links: DataFrame, vectors: DataFrame) -> DataFrame:
+def skip_grams(lines: DataFrame) -> DataFrame:
+    """(word, bucket, n): how often each word has a word of each bucket within ``WINDOW`` words in its line or at the end of the text line before.
+
+    Pairs are counted in arrays of ``CHUNK`` tokens and added up by Spark.
+    """
+
+    def count(words: list[pa.Array], places: list[np.ndarray], own: list[np.ndarray]) -> pa.RecordBatch:
+        coded = pa.concat_arrays(words).dictionary_encode()
+        names, codes, line = coded.dictionary, coded.indices.to_numpy().astype(np.int64), np.concatenate(places)
+        here = np.concatenate(own)
+        of = np.array([bucket(w) for w in names.to_pylist()], dtype=np.int64)
+        pairs = []
+        for k in range(1, WINDOW + 1):
+            same = (line[:-k] == line[k:]) & here[k:]
+            x, y = codes[:-k][same], codes[k:][same]
+            pairs += [x * BUCKETS + of[y], y * BUCKETS + of[x]]
+        keys, n = np.unique(np.concatenate(pairs), return_counts=True)
+        return pa.RecordBatch.from_arrays([names.take(pa.array(keys // BUCKETS)), pa.array((keys % BUCKETS).astype(np.int32)), pa.array(n)], names=["word", "bucket", "n"])
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, places, own, have, seen = [], [], [], 0, 0
+        for batch in batches:
+            lists = batch.column(0)
+            words.append(lists.flatten())
+            sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            places.append(np.repeat(np.arange(seen, seen + len(lists)), sizes))
+            within = np.arange(len(words[-1])) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            own.append(within >= np.repeat(batch.column(1).to_numpy(), sizes))
+            have, seen = have + len(words[-1]), seen + len(lists)
+            if have >= CHUNK:
+                yield count(words, places, own)
+                words, places, own, have = [], [], [], 0
+        if have:
+            yield count(words, places, own)
+
+    text = lines.where("kind = 'text' AND size(tokens) > 0").select(F.concat("before", "tokens").alias("words"), F.size("before").alias("old"))
+    return text.mapInArrow(counted, "word string, bucket int, n bigint").groupBy("word", "bucket").agg(F.sum("n").alias("n"))
+
+
+def information(company: DataFrame, grams: DataFrame, key: list[str]) -> DataFrame:
+    """(*key, fit): the mean information between ``better`` and the buckets of ``company`` (*key, better, bucket, n).
+
+    A pair counts as seen ``BEFORE`` times as often as chance has it beforehand.
+    Without vectors of ``better``, or without company, there is no row.
+    """
+    shares = grams.groupBy("bucket").agg(F.sum("n").alias("c"))
+    total = shares.agg(F.sum("c").alias("all"))
+    share = shares.join(F.broadcast(total)).select("bucket", (F.col("c") / F.col("all")).alias("share"))
+    betters = company.select(F.col("better").alias("word")).distinct()
+    own = grams.join(betters, "word", "left_semi")
+    of = own.groupBy(F.col("word").alias("better")).agg(F.sum("n").alias("of"))
+    seen = own.select(F.col("word").alias("better"), "bucket", F.col("n").alias("seen"))
+    rows = company.join(of, "better").join(share, "bucket").join(seen, ["better", "bucket"], "left")
+    pmi = F.log((F.coalesce("seen", F.lit(0)) + BEFORE * F.col("share")) / ((F.col("of") + BEFORE) * F.col("share")))
+    return rows.groupBy(*key).agg((F.sum(F.col("n") * pmi) / F.sum("n")).alias("fit"))
+
+
+def neighbours(links: DataFrame, grams: DataFrame) -> DataFrame:
+    """The links whose frequent word is a neighbour of the rare one: its vector expects the rare word's company.
+
+    The longer a word, the less likely it is like another by chance, and the
+    less its company need say.  A word in whose lines no other word stands has no company; it is linked
+    only where it holds a sign no word has.
+    """
+    key = ["word", "better"]
+    company = links.select("word", "better").join(grams, "word")
+    fit = information(company, grams, key)
+    alone = links.select("word").distinct().join(grams.select("word").distinct(), "word", "left_anti").withColumn("alone", F.lit(True))
+    rows = links.join(fit, key, "left").join(alone, "word", "left")
+    return rows.where((F.col("fit") + LETTER * F.length("word") >= 0) | (F.col("odd") & F.col("alone"))).drop("alone").withColumnRenamed("fit", "near")
+
+
+def in_context(lines: DataFrame, links: DataFrame, grams: DataFrame) -> DataFrame:
     """(workId, unitIndex, lineNo, word, better, headLength, last): each occurrence of a linked word and the word that fits best there.
 
-    The fit is the mean cosine between the better word's vector and those of up
-    to three words on either side; among several candidates the fit and the
-    logarithm of the frequency decide, then the word itself.
+    The context is ``WINDOW`` words on either side, those of the lines around
+    included.  Among several candidates the fit and the logarithm of the
+    frequency decide, then the word itself.
     """
-    tokens = lines.where("kind = 'text'").select("workId", "unitIndex", "lineNo", "tokens", "headLength", "splits", F.posexplode("tokens").alias("at", "word"))
+    tokens = lines.where("kind = 'text'").select("workId", "unitIndex", "lineNo", "tokens", "before", "after", "headLength", "splits", F.posexplode("tokens").alias("at", "word"))
     hits = tokens.join(links, "word").withColumn("last", F.col("splits") & (F.col("at") == F.size("tokens") - 1))
-    hits = hits.withColumn("around", F.expr("array_except(slice(tokens, greatest(at - 2, 1), 7), array(word))")).drop("tokens", "splits")
+    stream = F.concat("before", "tokens", "after")
+    place = F.col("at") + F.size("before")
+    left = F.slice(stream, F.greatest(place - WINDOW, F.lit(0)) + 1, F.least(place, F.lit(WINDOW)))
+    around = F.concat(left, F.slice(stream, place + 2, F.lit(WINDOW)))
+    hits = materialize(hits.withColumn("around", F.transform(around, lambda w: (F.crc32(w.cast("binary")) % BUCKETS).cast("int"))).drop("tokens", "before", "after", "splits"), "hits")
     key = ["workId", "unitIndex", "lineNo", "at", "word", "better"]
-    unit = vectors.select(F.col("word").alias("near"), F.col("vector").alias("v"))
-    around = hits.select(*key, F.explode("around").alias("near")).join(unit, "near")
-    own = vectors.select(F.col("word").alias("better"), F.col("vector").alias("u"))
-    cosine = F.aggregate(F.zip_with("u", "v", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-    fit = around.join(own, "better").groupBy(*key).agg(F.avg(cosine).alias("fit"))
-    scored = hits.join(fit, key, "left").withColumn("fit", F.coalesce("fit", F.lit(0.0))).where(F.col("odd") | (F.col("fit") >= FIT))
-    best = F.min(F.struct((-(4 * F.col("fit") + F.log10("m"))).alias("s"), "better", "headLength", "last")).alias("b")
+    fit = information(hits.select(*key, F.explode("around").alias("bucket"), F.lit(1).alias("n")), grams, key)
+    scored = hits.join(fit, key, "left").where((F.col("fit") + LETTER * F.length("word") >= 0) | (F.col("odd") & (F.size("around") == 0)))
+    best = F.min(F.struct((-(F.coalesce("fit", F.lit(0.0)) + F.log10("m"))).alias("s"), "better", "headLength", "last")).alias("b")
     return scored.groupBy("workId", "unitIndex", "lineNo", "at", "word").agg(best).select("workId", "unitIndex", "lineNo", "word", "b.better", "b.headLength", "b.last")
 
 
-def skip_grams(lines: DataFrame, parts: int) -> DataFrame:
-    """(word, vector): skip-gram vectors of length 1 of every word of at least ``FREQUENT`` occurrences, learnt on all lines."""
-    model = Word2Vec(vectorSize=VECTOR, windowSize=WINDOW, minCount=FREQUENT, maxIter=1, numPartitions=parts, stepSize=0.05, seed=7, inputCol="tokens", outputCol="v")
-    text = lines.where("kind = 'text' AND size(tokens) > 1").select("tokens")
-    if not text.limit(1).count():
-        return lines.sparkSession.createDataFrame([], "word string, vector array<double>")
-    try:
-        fitted = model.fit(text)
-    except Exception as e:  # no word is frequent enough
-        if "vocabulary size" not in str(e):
-            raise
-        return lines.sparkSession.createDataFrame([], "word string, vector array<double>")
-    from pyspark.ml.functions import vector_to_array
-
-    raw = fitted.getVectors().select("word", vector_to_array("vector").alias("v"))
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    return raw.withColumn("norm", F.greatest(norm, F.lit(1e-9))).select("word", F.transform("v", lambda x: x / F.col("norm")).alias("vector"))
-
-
 class Scans:
     """What was found in the units of scanned books: the steps the results are made from."""
 
     def __init__(self, units: DataFrame) -> None:
-        spark = units.sparkSession
         authors = units.where("workId IS NOT NULL").groupBy("workId", "unitIndex").agg(F.max("author").alias("author"))
         self.units = current_units(units).join(authors, ["workId", "unitIndex"], "left")
         self.lines = materialize(scanned_lines(self.units), "lines")
         text = self.lines.where("kind = 'text'")
         counts = materialize(text.select(F.explode("tokens").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")), "words")
-        parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 64))
-        vectors = materialize(skip_grams(self.lines, parts), "vectors")
+        #: Skip-gram vectors of all words, as counts.
+        self.grams = materialize(skip_grams(self.lines), "vectors")
+        links = materialize(glyph_links(counts), "links")
+        self.neighbours = materialize(neighbours(links, self.grams), "neighbours")
         #: Corrections: (workId, unitIndex, lineNo, word, better, headLength, last).
-        self.fixes = materialize(in_context(self.lines, materialize(glyph_links(counts), "links"), vectors), "fixes")
+        self.fixes = materialize(in_context(self.lines, self.neighbours, self.grams), "fixes")
         ends = text.where("tail IS NOT NULL AND next IS NOT NULL").select("workId", "unitIndex", "lineNo", "tail", "next", F.concat("tail", "next").alias("word"))
         whole = ends.join(counts.where(F.col("n") >= FREQUENT), "word")
         for side in ("tail", "next"):

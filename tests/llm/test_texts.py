@@ -70,6 +70,39 @@ def test_scan_traces(spark):
     assert scans.Scans(units.limit(0)).found().count() == 0
 
 
+def test_skip_grams_match_brute_force(spark):
+    random.seed(3)
+    lines = [[random.choice("abcde") for _ in range(random.randrange(0, 7))] for _ in range(60)]
+    rows = [("text", x, (lines[i - 1][-scans.WINDOW :] if i else [])) for i, x in enumerate(lines)] + [("page_number", ["a", "b"], [])]
+    got = {(r["word"], r["bucket"]): r["n"] for r in scans.skip_grams(spark.createDataFrame(rows, "kind string, tokens array<string>, before array<string>")).collect()}
+    want = {}
+    for i, x in enumerate(lines):
+        old = lines[i - 1][-scans.WINDOW :] if i else []
+        stream = old + x
+        for j in range(len(old), len(stream)):
+            for k in range(max(0, j - scans.WINDOW), j):
+                for a, b in ((stream[j], stream[k]), (stream[k], stream[j])):
+                    want[a, scans.bucket(b)] = want.get((a, scans.bucket(b)), 0) + 1
+    assert got == want
+    assert spark.range(1).selectExpr(f"crc32(cast('žluť' AS binary)) % {scans.BUCKETS} AS b").first()["b"] == scans.bucket("žluť")
+
+
+def test_vectors_decide_which_words_are_misread(spark, monkeypatch):
+    random.seed(5)
+    first = [f"the {random.choice(['bat', 'owl'])} flew over the dark hill at night and the bat slept by day" for _ in range(30)]
+    second = [f"a cook put {random.choice(['salt', 'oil'])} into warm soup before some soup was served" for _ in range(30)]
+    lines = [*first, *second, "the bal flew over tbe dark hill at night and the bal slept"]
+    units = spark.createDataFrame([("w", 1, "A. Writer", "Other Things", "c", "\n".join(lines), None)], "workId string, unitIndex bigint, author string, title string, corpus string, content string, loadedAt timestamp")
+    s = scans.Scans(units)
+    links = spark.createDataFrame([("bal", "bat", 2, 60, False), ("bal", "salt", 2, 60, False)], "word string, better string, n bigint, m bigint, odd boolean")
+    fit = {r["better"]: r["fit"] for r in scans.information(links.select("word", "better").join(s.grams, "word"), s.grams, ["word", "better"]).collect()}
+    assert fit["bat"] > fit["salt"] + 1
+    assert {r["better"] for r in scans.in_context(s.lines, links, s.grams).select("better").collect()} == {"bat"}
+    assert {r["lineNo"] for r in s.found().where("kind = 'misread'").collect()} == {61}
+    monkeypatch.setattr(scans, "skip_grams", lambda lines: spark.createDataFrame([], "word string, bucket int, n bigint"))
+    assert scans.Scans(units).found().where("kind = 'misread'").count() == 0
+
+
 def test_page_values():
     assert [scans.page_value(x) for x in ("12", "lO7", "xiv", "iiii", "mill")] == [12, 107, 14, -1, -1]
 
