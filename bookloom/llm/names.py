@@ -17,7 +17,7 @@ import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bookloom.operators.graph import components
@@ -27,8 +27,10 @@ from bookloom.session import materialize
 THRESHOLD = 0.68
 #: Least similarity of two bylines that share a title.
 NEAR = 0.5
-#: Length of the q-grams of a token.
-Q = 2
+#: By the edits that two tokens may differ by: least and greatest length of a token, and the length of its q-grams.
+CLASSES = {1: (4, 8, 3), 2: (8, 10**9, 4)}
+#: Parts into which the rows of one key are split on the larger side of a join.
+SALTS = 8
 #: Least similarity of two titles, character by character.
 TITLE = 0.86
 
@@ -266,6 +268,14 @@ def parse_title(text: str | None) -> tuple[str, str, str, bool]:
     return words(main), words(sub[0]) if sub else "", part, cut
 
 
+def title_words(main: Column) -> Column:
+    """What titles that mean one work have in common: words, two neighbours as one (parted in one title only), the first letters (cut titles)."""
+    words = F.split(main, " ")
+    joined = F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda a, b: F.concat(a, b))
+    first = F.concat(F.lit("^"), F.substring(F.replace(main, F.lit(" ")), 1, 4))
+    return F.when(main != "", F.array_distinct(F.filter(F.concat(words, joined, F.array(first)), lambda w: w != ""))).otherwise(F.array().cast("array<string>"))
+
+
 def _ratio(a: str, b: str) -> float:
     return difflib.SequenceMatcher(None, a, b, autojunk=False).ratio() if a and b else float(a == b)
 
@@ -323,40 +333,63 @@ def _spread(df: DataFrame) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _grams(token: str) -> list[str]:
-    padded = f"^{token}$"
-    return sorted({padded[i : i + Q] for i in range(len(padded) - Q + 1)})
+def _salted(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """An inner join that spreads the rows of one key over ``SALTS`` tasks: ``right`` is split, ``left`` repeated."""
+    split = right.withColumn("_salt", F.pmod(F.xxhash64(*right.columns), F.lit(SALTS)).cast("int"))
+    return left.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).join(split, [*on, "_salt"]).drop("_salt")
 
 
-def similar_tokens(heads: DataFrame, tokens: DataFrame) -> DataFrame:
-    """(head, token): every token within the allowed edits of a head, itself included.
+def _grams(token: str, q: int) -> list[tuple[str, int]]:
+    """(gram, place) of a token; grams that occur again are numbered, so that a token of n letters has n + q - 1."""
+    padded = "^" * (q - 1) + token + "$" * (q - 1)
+    seen: dict[str, int] = {}
+    out = []
+    for i in range(len(padded) - q + 1):
+        g = padded[i : i + q]
+        seen[g] = k = seen.get(g, 0) + 1
+        out.append((g if k == 1 else f"{g}{k}", i))
+    return out
 
-    A swap of neighbours touches ``Q + 1`` grams, so two tokens within d edits
-    share one of the ``d (Q + 1) + 1`` rarest grams of each.
+
+def gram_pairs(heads: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(head, token): pairs of different tokens whose q-grams do not rule out the allowed edits.
+
+    One edit, or a swap of neighbours, touches at most q + 1 grams, so two tokens
+    within d edits share one of the d (q + 1) + 1 rarest grams of each; it stands
+    at most d places apart, and the lengths differ by at most d.
     """
 
     def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame([(t, g) for t in pdf["token"] for g in _grams(t)], columns=["token", "gram"])
+            out = []
+            for t in pdf["token"]:
+                for edits, (least, most, q) in CLASSES.items():
+                    if least <= len(t) <= most:
+                        out += [(t, edits, g, i, len(t)) for g, i in _grams(t, q)]
+            yield pd.DataFrame(out, columns=["token", "edits", "gram", "place", "size"])
+
+    every = materialize(_spread(tokens.select("token").distinct()).mapInPandas(grams, "token string, edits int, gram string, place int, size int"), "grams")
+    counts = every.groupBy("edits", "gram").agg(F.count(F.lit(1)).alias("df"))
+    order = Window.partitionBy("token", "edits").orderBy("df", "gram")
+    length = F.when(F.col("edits") == 1, CLASSES[1][2]).otherwise(CLASSES[2][2])
+    first = every.join(counts, ["edits", "gram"]).withColumn("k", F.row_number().over(order)).where(F.col("k") <= F.col("edits") * (length + 1) + 1).drop("df", "k")
+    first = materialize(first, "prefixes")
+    left = first.join(heads.select("token").distinct(), "token", "left_semi").select(F.col("token").alias("head"), "edits", "gram", F.col("place").alias("at"), F.explode(F.sequence(F.col("size") - F.col("edits"), F.col("size") + F.col("edits"))).alias("size"))
+    n, key = int(heads.sparkSession.conf.get("spark.sql.shuffle.partitions")), ["edits", "gram", "size"]
+    pairs = left.repartition(n, *key).join(first.repartition(n, *key), key).where((F.col("head") != F.col("token")) & (F.abs(F.col("at") - F.col("place")) <= F.col("edits")))
+    # a swap is two edits to levenshtein, which needs no Python and leaves few pairs
+    return pairs.where(F.levenshtein("head", "token") <= 2 * F.col("edits")).select("head", "token").distinct()
+
 
-    every = materialize(tokens.select("token").distinct().mapInPandas(grams, "token string, gram string"), "grams")
-    counts = every.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
-    order = Window.partitionBy("token").orderBy("df", "gram")
-    edits = F.when(F.length("token") <= 3, 0).when(F.length("token") <= 7, 1).otherwise(2)
-    # the other token may be shorter by the edits, so the longer one's allowance is taken on both sides
-    first = every.join(counts, "gram").withColumn("k", F.row_number().over(order)).where(F.col("k") <= (edits * (Q + 1) + 1)).select("token", "gram")
-    left = first.join(heads.select("token").distinct(), "token").select(F.col("token").alias("head"), "gram")
-    pairs = left.join(first, "gram").select("head", "token").distinct()
+def similar_tokens(heads: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(head, token): every token within the allowed edits of a head, itself included."""
 
     def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             yield pdf[[osa(a, b, allowed(a, b)) <= allowed(a, b) for a, b in zip(pdf["head"], pdf["token"])]]
 
     same = heads.select(F.col("token").alias("head"), "token").distinct()
-    # a swap is two edits to levenshtein, which needs no Python and leaves few pairs
-    reach = F.when((F.length("head") <= 7) | (F.length("token") <= 7), 2).otherwise(4)
-    close = (F.abs(F.length("head") - F.length("token")) <= 2) & (F.levenshtein("head", "token") <= reach)
-    return _spread(pairs.where((F.col("head") != F.col("token")) & close)).mapInPandas(near, "head string, token string").unionByName(same)
+    return _spread(gram_pairs(heads, tokens)).mapInPandas(near, "head string, token string").unionByName(same)
 
 
 def byline_links(bags: DataFrame) -> DataFrame:
@@ -376,7 +409,9 @@ def byline_links(bags: DataFrame) -> DataFrame:
     ranked = weighted.withColumn("before", F.coalesce(F.sum("weight").over(heavy), F.lit(0.0))).withColumn("sum", F.sum("weight").over(everything))
     heads = materialize(ranked.where(F.col("before") <= (1 - THRESHOLD) * F.col("sum")).select("bag", "token"), "heads")
     links = similar_tokens(heads, weights)
-    pairs = heads.withColumnRenamed("token", "head").join(links, "head").join(each.withColumnRenamed("bag", "other"), "token").where("bag != other")
+    # a token that many bags hold is light and seldom looked up; the bags that hold it are split
+    looked = materialize(heads.withColumnRenamed("token", "head").join(links, "head").select("bag", "token").distinct(), "looked")
+    pairs = _salted(looked, each.withColumnRenamed("bag", "other"), ["token"]).where("bag != other")
     pairs = pairs.select(F.least("bag", "other").alias("a"), F.greatest("bag", "other").alias("b")).distinct()
     sides = [full.select(*[F.col(c).alias(f"{s}_{c}" if c != "bag" else s) for c in full.columns]) for s in "ab"]
     rows = pairs.join(sides[0], "a").join(sides[1], "b").where("a_kind = b_kind AND a_suffix = b_suffix")
@@ -404,13 +439,17 @@ class Variants:
     """Rows of typed names with the person or organisation, and the work, each stands for."""
 
     def __init__(self, responses: DataFrame) -> None:
-        self.rows = rows = materialize(parsed_rows(responses).where("kind != ''"), "parsed")
+        self.parsed = materialize(parsed_rows(responses), "parsed")
+        self.rows = rows = self.parsed.where("kind != ''")
         bags = rows.select("bag", "kind", "tokens", "initials", "suffix", "extra").distinct()
         links = materialize(byline_links(bags), "bylines")
         near = links.where(F.col("similarity") < THRESHOLD)
-        for side in "ab":
-            titles = rows.select(F.col("bag").alias(side), F.struct("main", "sub", "part", "cut").alias(f"{side}t")).distinct()
-            near = near.join(titles, side)
+        #: (bag, title): the different titles of each byline.
+        titles = rows.select("bag", F.struct("main", "sub", "part", "cut").alias("title")).distinct()
+        # titles that mean one work have a word in common, so titles of two bylines meet by words
+        words = titles.select("bag", "title", F.explode(title_words(F.col("title.main"))).alias("word"))
+        near = near.join(words.select(F.col("bag").alias("a"), F.col("title").alias("at"), "word"), "a")
+        near = _salted(near, words.select(F.col("bag").alias("b"), F.col("title").alias("bt"), "word"), ["b", "word"]).drop("word").distinct()
 
         def agree(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
@@ -427,18 +466,22 @@ class Variants:
         lean = ends.where("na != nb").select(F.when(F.col("na"), F.col("b")).otherwise(F.col("a")).alias("weak"), F.when(F.col("na"), F.col("a")).otherwise(F.col("b")).alias("bag"))
         lean = materialize(lean.join(strong, "bag").select("weak", "person").distinct(), "leaning")
         weak_rows = rows.join(named.where("NOT named"), "bag").select("id", "bag", "main", "sub", "part", "cut")
-        loose = weak_rows.join(lean.select(F.col("weak").alias("bag"), "person"), "bag")
-        ways = loose.groupBy("id").agg(F.count(F.lit(1)).alias("ways"), F.first("person").alias("person"))
-        only = ways.where("ways = 1").select("id", "person")
-        # several persons fit: the one with a work of that title is meant
-        known = rows.join(strong, "bag").select("person", F.struct("main", "sub", "part", "cut").alias("theirs")).distinct()
-        unsure = loose.join(ways.where("ways > 1").select("id"), "id").join(known, "person").select("id", "person", F.struct("main", "sub", "part", "cut").alias("own"), "theirs")
+        ways = lean.groupBy(F.col("weak").alias("bag")).agg(F.count(F.lit(1)).alias("ways"), F.first("person").alias("person"))
+        only = weak_rows.join(ways.where("ways = 1").select("bag", "person"), "bag").select("id", "person")
+        # several persons fit: the one with a work of that title is meant; titles meet by words, not by persons
+        several = ways.where("ways > 1").select("bag")
+        theirs = words.join(strong, "bag").select("person", F.col("title").alias("theirs"), "word").distinct()
+        theirs = lean.join(several.select(F.col("bag").alias("weak")), "weak").join(theirs, "person").select(F.col("weak").alias("bag"), "person", "theirs", "word")
+        own = words.join(several, "bag").select("bag", F.col("title").alias("own"), "word")
+        unsure = _salted(own, theirs, ["bag", "word"]).select("bag", "person", "own", "theirs").distinct()
 
         def fits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
-                yield pdf.loc[[same_title(a, b)[0] for a, b in zip(pdf["own"], pdf["theirs"])], ["id", "person"]]
+                yield pdf.loc[[same_title(a, b)[0] for a, b in zip(pdf["own"], pdf["theirs"])], ["bag", "own", "person"]]
 
-        meant = unsure.mapInPandas(fits, "id string, person string").distinct().groupBy("id").agg(F.count(F.lit(1)).alias("k"), F.first("person").alias("person")).where("k = 1").select("id", "person")
+        title = "struct<main: string, sub: string, part: string, cut: boolean>"
+        fitting = _spread(unsure).mapInPandas(fits, f"bag string, own {title}, person string").distinct().groupBy("bag", "own").agg(F.count(F.lit(1)).alias("k"), F.first("person").alias("person")).where("k = 1")
+        meant = weak_rows.withColumn("own", F.struct("main", "sub", "part", "cut")).join(fitting, ["bag", "own"]).select("id", "person")
         placed = materialize(rows.join(strong, "bag").select("id", "person").unionByName(only).unionByName(meant), "placed")
         rest = weak_rows.join(placed, "id", "left_anti").select("id", "bag")
         among = _labelled(rest.select("bag").distinct(), ends.where("NOT na AND NOT nb").select("a", "b"), "bag").select("bag", F.concat(F.lit("w:"), "label").alias("person"))
@@ -450,12 +493,14 @@ class Variants:
         """(id, person, work): the works of each person, titles that mean the same work under one label."""
         rows = self.rows.join(self.persons, "id").where("main != ''")
         titles = materialize(rows.select("person", "work", "main", "sub", "part", "cut").distinct(), "titles")
-        words = titles.select("person", "work", "cut", F.explode(F.array_distinct(F.split("main", " "))).alias("word"))
-        df = words.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-        order = Window.partitionBy("person", "work").orderBy("df", "word")
-        # a cut title is looked up by all its words, any other by its three rarest
-        first = words.join(df, "word").withColumn("k", F.row_number().over(order)).where("cut OR k <= 3")
-        pairs = first.select("person", "word", F.col("work").alias("x")).join(words.select("person", "word", F.col("work").alias("y")), ["person", "word"]).where("x != y")
+        words = titles.select("person", "work", "cut", F.length("main").alias("size"), F.explode(title_words(F.col("main"))).alias("token"))
+        df = words.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+        order = Window.partitionBy("person", "work").orderBy("df", "token")
+        # of a title's n characters at most (1 - TITLE) n differ; so many of its rarest words and one more cannot all be spoilt
+        first = words.join(df, "token").withColumn("k", F.row_number().over(order)).where(F.col("cut") | (F.col("k") <= (1 - TITLE) * F.col("size") + 1))
+        alike = similar_tokens(first.select("token"), words.select("token"))
+        looked = first.select("person", F.col("token").alias("head"), F.col("work").alias("x")).join(alike, "head").select("person", "token", "x").distinct()
+        pairs = _salted(looked, words.select("person", "token", F.col("work").alias("y")), ["person", "token"]).where("x != y")
         pairs = pairs.select("person", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
         side = lambda s: titles.select("person", F.col("work").alias(s), F.struct("main", "sub", "part", "cut").alias(f"{s}t"))
         rows2 = pairs.join(side("x"), ["person", "x"]).join(side("y"), ["person", "y"])
@@ -491,7 +536,12 @@ class Variants:
         return out[0].unionByName(out[1]).distinct()
 
     def classes(self) -> DataFrame:
-        """(id, person, work, links): the class of each row and the number of other rows in its person's class."""
+        """(id, person, work, links): the class of every row and the number of other rows in its person's class.
+
+        A row whose byline is null or has no letter is a class of its own, with
+        its id as person; the work is null where the title is.
+        """
         size = self.persons.groupBy("person").agg((F.count(F.lit(1)) - 1).alias("links"))
-        work = self.works.select("id", "work")
-        return self.persons.join(size, "person").join(work, "id", "left").select("id", "person", "work", "links")
+        tied = self.persons.join(size, "person").join(self.works.select("id", "work"), "id", "left")
+        rows = self.parsed.select("id").join(tied, "id", "left")
+        return rows.select("id", F.coalesce("person", F.concat(F.lit("x:"), "id")).alias("person"), "work", F.coalesce("links", F.lit(0)).alias("links"))
