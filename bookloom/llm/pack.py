@@ -14,8 +14,8 @@ from bookloom.session import materialize
 
 #: Documents packed by one task at most, on average.
 PART_ITEMS = 20_000
-#: How often partitions with a gap exchange documents.
-ROUNDS = 3
+#: Partitions with a gap exchange documents as long as that saves containers, but no more often than this.
+ROUNDS = 12
 
 
 def best_fit_decreasing(sizes: np.ndarray, capacity: int) -> np.ndarray:
@@ -65,13 +65,16 @@ def sized_items(docs: DataFrame, limits: DataFrame, profile: str) -> DataFrame:
 
     Only a document above the capacity is cut, into full pieces and a rest.  The
     capacity is that of the corpus and profile, else the largest stated for the
-    corpus, else the least of all; a null corpus is the corpus ``null``.
+    corpus, else the least of all; a null corpus is the corpus ``null``.  Raises
+    where no capacity is stated at all.
     """
+    if not limits.where("capacity_tokens > 0").limit(1).count():
+        raise ValueError("no capacity is stated")
     wanted = F.max(F.when(F.lower(F.trim("profile")) == profile, F.col("capacity_tokens")))
     caps = limits.where("capacity_tokens > 0").groupBy(F.coalesce(F.trim("corpus"), F.lit("null")).alias("corpus")).agg(F.coalesce(wanted, F.max("capacity_tokens")).alias("capacity"))
     least = limits.where("capacity_tokens > 0").agg(F.min("capacity_tokens").alias("least"))
     sized = with_tokens(docs.select("doc_id", F.coalesce("corpus", F.lit("null")).alias("corpus"), "text"))
-    rows = sized.join(F.broadcast(caps), "corpus", "left").join(F.broadcast(least)).withColumn("capacity", F.coalesce("capacity", "least"))
+    rows = sized.join(caps, "corpus", "left").join(F.broadcast(least)).withColumn("capacity", F.coalesce("capacity", "least"))
     pieces = F.greatest(F.lit(1), F.ceil(F.col("tokens") / F.col("capacity"))).cast("int")
     rows = rows.withColumn("pieces", pieces).withColumn("piece", F.explode(F.sequence(F.lit(1), F.col("pieces"))))
     start = (F.col("piece") - 1) * F.col("capacity")
@@ -119,21 +122,26 @@ def pack(docs: DataFrame, limits: DataFrame, profile: str = "large", part_items:
     """
     items = materialize(sized_items(docs, limits, profile), "sizes")
     whole = items.where("size = capacity").select("*", F.concat(F.lit("f-"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit("-"), "piece").alias("box"), F.lit(True).alias("stays"))
-    done, loose = whole, items.where("size < capacity")
+    done, loose, boxes = whole, items.where("size < capacity"), None
     for step in range(rounds):
         parts = loose.groupBy("corpus").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / part_items)).cast("int").alias("parts"))
-        state = materialize(_packed(loose, step, parts), "packed")
-        last = step == rounds - 1
-        done = done.unionByName(state if last else state.where("stays"))
-        if last or not state.where("NOT stays").limit(1).count():
+        state = materialize(_packed(loose.select(items.columns), step, parts), "packed")
+        used = state.groupBy("corpus", "box").agg(F.max("stays").alias("stays")).agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("stays")).alias("open")).first()
+        if boxes is not None and used["n"] >= boxes:  # the exchange saved nothing
             break
-        loose = state.where("NOT stays").drop("box", "stays")
+        done, loose, boxes = done.unionByName(state.where("stays")), state.where("NOT stays"), used["open"]
+        if not boxes:
+            break
+    if boxes:
+        done = done.unionByName(loose)
     return done.select("corpus", F.concat_ws("-", "corpus", "box").alias("container"), "capacity", "doc_id", "piece", "pieces", "token_start", F.col("size").alias("tokens"))
 
 
-def certificate(packed: DataFrame) -> DataFrame:
-    """(corpus, capacity, containers, bound, tokens, filled): per corpus the containers used and the fewest possible.
+def certificate(packed: DataFrame, limits: DataFrame) -> DataFrame:
+    """(corpus, capacity, containers, bound, tokens, filled, max_files, tooMany): per corpus the containers used and the fewest possible.
 
+    ``tooMany``: there are more containers than the corpus may have files; null
+    where no number is stated.
     The bound is computed from the counts of each size, of which there are no
     more than the capacity has tokens.
     """
@@ -145,4 +153,6 @@ def certificate(packed: DataFrame) -> DataFrame:
 
     bounds = sizes.groupBy("corpus").applyInPandas(bound, "corpus string, capacity bigint, bound bigint, tokens bigint")
     used = packed.groupBy("corpus").agg(F.countDistinct("container").alias("containers"))
-    return bounds.join(used, "corpus").select("corpus", "capacity", "containers", "bound", "tokens", (F.col("tokens") / (F.col("containers") * F.col("capacity"))).alias("filled"))
+    files = limits.groupBy(F.coalesce(F.trim("corpus"), F.lit("null")).alias("corpus")).agg(F.max("max_files").alias("max_files"))
+    out = bounds.join(used, "corpus").join(files, "corpus", "left")
+    return out.select("corpus", "capacity", "containers", "bound", "tokens", (F.col("tokens") / (F.col("containers") * F.col("capacity"))).alias("filled"), "max_files", (F.col("containers") > F.col("max_files")).alias("tooMany"))

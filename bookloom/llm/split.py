@@ -109,7 +109,7 @@ def cut_units(units: DataFrame, overlaps: DataFrame, limit: int = LIMIT_BYTES, t
     limit is one piece without overlap.
     """
     per_corpus = overlaps.groupBy("corpus").agg(F.max("overlap_tokens").alias("overlap"))
-    rows = units.join(F.broadcast(per_corpus), "corpus", "left").select("workId", "unitIndex", F.coalesce("content", F.lit("")).alias("content"), F.coalesce("overlap", F.lit(0)).alias("overlap"))
+    rows = units.join(per_corpus, "corpus", "left").select("workId", "unitIndex", F.coalesce("content", F.lit("")).alias("content"), F.coalesce("overlap", F.lit(0)).alias("overlap"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = encoder()
