@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+#: Bases of two independent hashes.
+BASE, SECOND = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 _MOST = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Code points hashed at a time; small enough for the processor's cache.
 CHUNK = 1 << 17
@@ -23,8 +23,8 @@ def _mix(x: np.ndarray) -> np.ndarray:
 class Powers:
     """Powers of the base and of its inverse modulo 2**64, up to a length."""
 
-    def __init__(self, n: int) -> None:
-        self.up, self.down = (np.concatenate(([np.uint64(1)], np.cumprod(np.full(n, b, dtype=np.uint64)))) for b in (_BASE, _INVERSE))
+    def __init__(self, n: int, base: int = BASE) -> None:
+        self.up, self.down = (np.concatenate(([np.uint64(1)], np.cumprod(np.full(n, b, dtype=np.uint64)))) for b in (base, pow(base, -1, 1 << 64)))
 
 
 def gram_hashes(codes: np.ndarray, k: int, powers: Powers) -> np.ndarray:

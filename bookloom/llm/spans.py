@@ -10,16 +10,16 @@ by code point, and removals are clustered by connected components.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bookloom.llm.grams import CHUNK, Powers, anchors, gram_hashes
+from bookloom.llm.grams import CHUNK, SECOND, Powers, anchors, gram_hashes
 from bookloom.operators.graph import components
 from bookloom.session import materialize
 
@@ -29,19 +29,51 @@ MIN_LEN = 200
 GRAM = 90
 #: A minimum held by more records than this is not joined pair by pair but refined to whole runs first.
 HOT = 1000
-_NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: The same where no pairs are asked for.
+FEW = 50
 
 
 def _signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
+def _pieces(texts: list[str], overlap: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+    """(code points, numbers of the texts, their ends, place of the first code point) of short texts together and of long ones in overlapping parts.
+
+    No piece has more than ``CHUNK`` code points and the overlap.
+    """
+
+    def made(parts: list[str], numbers: list[int], at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+        codes = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        return codes, np.array(numbers), np.cumsum([len(p) for p in parts]), at
+
+    some, numbers, size = [], [], 0
+    for i, text in enumerate(texts):
+        if len(text) > CHUNK:
+            for lo in range(0, len(text) - overlap, CHUNK):
+                yield made([text[lo : lo + CHUNK + overlap]], [i], lo)
+            continue
+        if size + len(text) > CHUNK:
+            yield made(some, numbers, 0)
+            some, numbers, size = [], [], 0
+        some.append(text)
+        numbers.append(i)
+        size += len(text)
+    if some:
+        yield made(some, numbers, 0)
+
+
+def _digest(text: str) -> tuple[int, int]:
+    d = hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()
+    return int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:16], "big", signed=True)
+
+
 def span_anchors(docs: DataFrame, min_len: int = MIN_LEN, gram: int = GRAM) -> DataFrame:
-    """(h, doc, pos): the distinct MinHashes of each text's runs, and one row at -1 with the hash of the whole text.
+    """(h, g, doc, pos): the distinct MinHashes of each text's runs, and one row at -1 with the SHA-256 (in part) of the whole text.
 
-    Null texts and texts shorter than ``min_len`` give no row.  All texts of a
-    batch are hashed as one array, in overlapping chunks, so a text of any
-    length takes the same memory.
+    Null texts and texts shorter than ``min_len`` give no row.  Texts are hashed
+    as arrays of about ``CHUNK`` code points, long ones in overlapping parts, so
+    a text of any length takes little memory beside its own.
     """
     w = min_len - gram + 1
 
@@ -49,32 +81,27 @@ def span_anchors(docs: DataFrame, min_len: int = MIN_LEN, gram: int = GRAM) -> D
         powers = Powers(CHUNK + min_len)
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            ends = np.cumsum(sizes)
-            starts = ends - sizes
-            codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-            hs, at = [], []
-            for lo in range(0, max(len(codes) - min_len + 1, 0), CHUNK):
-                part = codes[lo : lo + CHUNK + min_len - 1]
-                places, hashes = anchors(part, gram, w, powers, ends - lo)
-                hs.append(hashes)
-                at.append(places + lo)
-            whole = np.array([xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) for t in texts], dtype=np.uint64)
-            h, at = (np.concatenate(x) if x else np.zeros(0, dtype=t) for x, t in ((hs, np.uint64), (at, np.int64)))
-            doc = np.searchsorted(ends, at, side="right")
-            pos = (at - starts[doc]).astype(np.int32)
-            h, doc, pos = np.concatenate((h, whole)), np.concatenate((ids[doc], ids)), np.concatenate((pos, np.full(len(ids), -1, dtype=np.int32)))
-            yield pa.RecordBatch.from_arrays([pa.array(_signed(h)), pa.array(doc), pa.array(pos)], names=["h", "doc", "pos"])
+            whole = np.array([_digest(t) for t in texts], dtype=np.int64).reshape(-1, 2)
+            hs, docs, at = [whole[:, 0]], [ids], [np.full(len(ids), -1, dtype=np.int32)]
+            for codes, numbers, ends, first in _pieces(texts, min_len - 1):
+                places, hashes = anchors(codes, gram, w, powers, ends)
+                k = np.searchsorted(ends, places, side="right")
+                hs.append(_signed(hashes))
+                docs.append(ids[numbers[k]])
+                at.append((places - np.concatenate(([0], ends))[k] + first).astype(np.int32))
+            h = np.concatenate(hs)
+            g = np.concatenate((whole[:, 1], np.zeros(len(h) - len(ids), dtype=np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(g), pa.array(np.concatenate(docs)), pa.array(np.concatenate(at))], names=["h", "g", "doc", "pos"])
 
     rows = docs.where(f"doc_id IS NOT NULL AND length(text) >= {min_len}").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows.mapInArrow(hashed, "h bigint, doc bigint, pos int")
+    return rows.mapInArrow(hashed, "h bigint, g bigint, doc bigint, pos int")
 
 
 def _copies(shared: DataFrame) -> DataFrame:
-    """(doc, rep): every record whose whole text stands in another, with the smallest such record."""
+    """(doc, rep): every record whose whole text stands in another (128 bits of its SHA-256 agree), with the smallest such record."""
     whole = shared.where("pos = -1")
-    return whole.join(whole.groupBy("h").agg(F.min("doc").alias("rep")), "h").select("doc", "rep")
+    return whole.join(whole.groupBy("h", "g").agg(F.min("doc").alias("rep")), ["h", "g"]).select("doc", "rep")
 
 
 def _contexts(need: DataFrame, docs: DataFrame, before: int, after: int) -> DataFrame:
@@ -126,21 +153,21 @@ def _verified(rare: DataFrame, docs: DataFrame, min_len: int, gram: int) -> Data
 
 
 def _whole_runs(hot: DataFrame, docs: DataFrame, min_len: int, gram: int) -> DataFrame:
-    """(h, doc, start): the hash of every run of ``min_len`` code points around the minima of ``hot``."""
+    """(h, g, doc, start): two independent hashes of every run of ``min_len`` code points around the minima of ``hot``."""
     reach = min_len - gram
 
     def runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        powers = Powers(2 * min_len)
+        powers, others = Powers(2 * min_len), Powers(2 * min_len, SECOND)
         for pdf in batches:
             out = []
             for doc, pos, lead, tail in zip(pdf["doc"], pdf["pos"], pdf["lead"], pdf["tail"]):
                 codes = np.frombuffer((lead + tail).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-                h = gram_hashes(codes, min_len, powers)
-                out.append(pd.DataFrame({"h": _signed(h), "doc": doc, "start": np.arange(len(h)) + pos - len(lead)}))
-            yield pd.concat(out) if out else pd.DataFrame({"h": [], "doc": [], "start": []})
+                h, g = (gram_hashes(codes, min_len, p) for p in (powers, others))
+                out.append(pd.DataFrame({"h": _signed(h), "g": _signed(g), "doc": doc, "start": np.arange(len(h)) + pos - len(lead)}))
+            yield pd.concat(out) if out else pd.DataFrame({"h": [], "g": [], "doc": [], "start": []})
 
     around = _contexts(hot.select("doc", "pos"), docs, reach, gram + reach)
-    return around.mapInPandas(runs, "h bigint, doc bigint, start int").distinct()
+    return around.mapInPandas(runs, "h bigint, g bigint, doc bigint, start int").distinct()
 
 
 class SharedSpans:
@@ -148,8 +175,8 @@ class SharedSpans:
 
     def __init__(self, docs: DataFrame, min_len: int = MIN_LEN, gram: int = GRAM, hot: int = HOT) -> None:
         found = materialize(span_anchors(docs, min_len, gram), "minima")
-        several = found.groupBy("h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("h")
-        shared = materialize(found.join(several, "h"), "shared")
+        several = found.groupBy("h", "g").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("h", "g")
+        shared = materialize(found.join(several, ["h", "g"]), "shared")
         #: (doc, rep) of all records with copies, the representative itself included.
         self.members = materialize(_copies(shared), "copies")
         alone = shared.where("pos >= 0").join(self.members.where("doc > rep").select("doc"), "doc", "left_anti")
@@ -161,17 +188,17 @@ class SharedSpans:
         self.hot = None
         if many.limit(1).count():
             runs = materialize(_whole_runs(many, docs, min_len, gram), "runs")
-            again = runs.groupBy("h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("h")
-            #: (h, doc, start) of whole runs shared by several representatives.
-            self.hot = materialize(runs.join(again, "h"), "hotruns")
+            again = runs.groupBy("h", "g").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("h", "g")
+            #: (h, g, doc, start) of whole runs shared by several representatives.
+            self.hot = materialize(runs.join(again, ["h", "g"]), "hotruns")
         self.min_len = min_len
 
     def pairs(self) -> DataFrame:
         """(doc_id_a, doc_id_b), a < b: every two records with a common run, copies included."""
         reps = self.spans.select("a", "b").distinct()
         if self.hot is not None:
-            x, y = (self.hot.select("h", F.col("doc").alias(s)) for s in "ab")
-            reps = reps.unionByName(x.join(y, "h").where("a < b").select("a", "b")).distinct()
+            x, y = (self.hot.select("h", "g", F.col("doc").alias(s)).distinct() for s in "ab")
+            reps = reps.unionByName(x.join(y, ["h", "g"]).where("a < b").select("a", "b")).distinct()
         for side in "ab":
             copies = self.members.select(F.col("rep").alias(side), F.col("doc").alias(f"{side}_doc"))
             reps = reps.join(copies, side, "left").withColumn(f"{side}_doc", F.coalesce(f"{side}_doc", side))
@@ -184,8 +211,8 @@ class SharedSpans:
         """(a, b): links that tie the same records together as :meth:`pairs`, linear in the rows."""
         out = self.spans.select("a", "b").unionByName(self.members.where("doc > rep").select(F.col("doc").alias("a"), F.col("rep").alias("b")))
         if self.hot is not None:
-            first = self.hot.groupBy("h").agg(F.min("doc").alias("b"))
-            out = out.unionByName(self.hot.join(first, "h").where("doc > b").select(F.col("doc").alias("a"), "b"))
+            first = self.hot.groupBy("h", "g").agg(F.min("doc").alias("b"))
+            out = out.unionByName(self.hot.join(first, ["h", "g"]).where("doc > b").select(F.col("doc").alias("a"), "b"))
         return out.distinct()
 
     def shares(self, docs: DataFrame) -> DataFrame:
