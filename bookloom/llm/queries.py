@@ -29,7 +29,7 @@ def p2_repaired(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
-    return survivor.survivors(table(spark, folder, "catalog_works")).where("undisputed").select("group_id", "survivor_id")
+    return survivor.undisputed(table(spark, folder, "catalog_works"))
 
 
 def p3_golden_records(spark: SparkSession, folder: str) -> DataFrame:
@@ -41,7 +41,7 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p4_stratified_cap(spark: SparkSession, folder: str) -> DataFrame:
-    out = caps.cap_decisions(table(spark, folder, "curated_works"), F.coalesce(F.col("contentType"), F.lit("none")))
+    out = caps.cap_decisions(table(spark, folder, "curated_works"), exponent=0.5)
     return out.select("runId", "corpus", "creator", "stratum", "slots", "place", "kept", "id")
 
 
@@ -83,7 +83,7 @@ def p7_containers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p7_certificate(spark: SparkSession, folder: str) -> DataFrame:
-    return pack.certificate(materialize(p7_containers(spark, folder), "containers"))
+    return pack.certificate(materialize(p7_containers(spark, folder), "containers"), table(spark, folder, "upload_limits"))
 
 
 def _mix(spark: SparkSession, folder: str) -> mix.Mix:
@@ -104,7 +104,7 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p9_shared_part(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return spans.SharedSpans(docs).shares(docs)
+    return spans.SharedSpans(docs, hot=spans.FEW).shares(docs)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

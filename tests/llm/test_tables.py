@@ -1,6 +1,7 @@
 """Survivors, caps and splits against brute force, with the awkward inputs each must bear."""
 
 import datetime as dt
+import itertools
 import random
 
 import numpy as np
@@ -40,7 +41,11 @@ def test_ties_and_survivor(spark):
     groups = {r["id"]: r["group_id"] for r in survivor.tie_works(catalog).collect()}
     assert groups == dict.fromkeys("abcd", "a")
     out = survivor.survivors(catalog).collect()
-    assert [(r["group_id"], r["survivor_id"], r["undisputed"]) for r in out] == [("a", "a", True)]
+    assert [(r["group_id"], r["survivor_id"]) for r in out] == [("a", "a")]
+    assert [tuple(r) for r in survivor.undisputed(catalog).collect()] == [("a", "a")]
+    # two records that are best in every mark, and one best in each
+    equal = [_record("p", editionGroupKey="k", title="T", confidence="low"), _record("q", editionGroupKey="k", title="T", confidence="low"), _record("r", editionGroupKey="l", title="T"), _record("s", editionGroupKey="l", confidence="high")]
+    assert survivor.undisputed(spark.createDataFrame(equal, CATALOG)).count() == 0
     built = survivor.golden_records(catalog).collect()[0]
     assert built["author"] == "A" and built["title"] == "T" and built["members"] == 4 and built["sourcesFrom"] in ("c", "d")
     assert survivor.golden_records(catalog.limit(0)).count() == 0 == survivor.survivors(catalog.limit(0)).count()
@@ -48,16 +53,44 @@ def test_ties_and_survivor(spark):
 
 def test_bundles_are_the_best_consistent_choice(spark):
     random.seed(1)
-    rows = [(f"g{g}", b, axis, random.choice("xyz") if axis != "free" else "", float(random.randrange(9)), f"r{i}") for g in range(8) for i in range(5) for b, axis in (("identity", "title"), ("edition", "title"), ("judgement", "free"))]
-    got = survivor.choose_bundles(spark.createDataFrame(rows, "group_id string, bundle string, axis string, branch string, trust double, id string"))
-    trust = {(r[0], r[1], r[5]): (r[4], r[3]) for r in rows}
+    rows = []
+    for g in range(14):
+        for i in range(random.randrange(1, 8)):
+            rows.append((f"g{g}", f"r{i}", *(x for b in survivor.BUNDLES for x in ("" if b == "judgement" else random.choice(["", "x", "y", "z"]), float(random.choice([0, 100, 200, 300]) + random.randrange(9))))))
+    names = [f"{b}_{x}" for b in survivor.BUNDLES for x in ("sig", "trust")]
+    records = spark.createDataFrame(rows, "group_id string, id string, " + ", ".join(f"{n} {'string' if n.endswith('sig') else 'double'}" for n in names))
+    got = {r["group_id"]: r for r in survivor.choose_bundles(records, list(survivor.BUNDLES), survivor.TIES, survivor.ROOT).collect()}
     by = {}
-    for r in got.collect():
-        by.setdefault(r["group_id"], {})[r["bundle"]] = trust[r["group_id"], r["bundle"], r["id"]]
-    for g, chosen in by.items():
-        best = max(sum(max((r[4] for r in rows if r[:2] == (g, b) and r[3] == x), default=0) for b in ("identity", "edition")) for x in "xyz")
-        assert sum(chosen[b][0] for b in ("identity", "edition") if b in chosen) == best
-        assert chosen["judgement"][0] == max(r[4] for r in rows if r[:2] == (g, "judgement"))
+    for r in rows:
+        by.setdefault(r[0], []).append({"id": r[1]} | dict(zip(names, r[2:])))
+    order = list(survivor.BUNDLES)
+
+    def agree(g, values):
+        return all(not values[x] or not values[y] or any(m[f"{x}_sig"] == values[x] and m[f"{y}_sig"] == values[y] for m in by[g]) for x, y in survivor.TIES)
+
+    for g, members in by.items():
+        best = 0.0
+        for choice in itertools.product(members, repeat=len(order) - 1):  # judgement is tied to nothing
+            values = {b: m[f"{b}_sig"] for b, m in zip(order, choice)}
+            total = sum(m[f"{b}_trust"] for b, m in zip(order, choice))
+            if total > best and agree(g, values):
+                best = total
+        best += max(m["judgement_trust"] for m in members)
+        taken = {t["bundle"]: next(m for m in members if m["id"] == t["id"]) for t in got[g]["taken"]}
+        assert set(taken) == set(order) and agree(g, {b: m[f"{b}_sig"] for b, m in taken.items()})
+        assert sum(m[f"{b}_trust"] for b, m in taken.items()) == pytest.approx(best) == pytest.approx(got[g]["total"])
+    assert set(got) == set(by) and survivor.choose_bundles(records.limit(0), list(survivor.BUNDLES), survivor.TIES, survivor.ROOT).count() == 0
+
+
+def test_branch_and_bound_matches_brute_force():
+    rng = random.Random(4)
+    for _ in range(60):
+        offers = {b: [(float(rng.randrange(20)), v, [(b, v)]) for v in rng.sample(["", "x", "y", "z"], rng.randrange(1, 5))] for b in "abc"}
+        allowed = {t: {(x, y) for x in "xyz" for y in "xyz" if rng.random() < 0.4} for t in (("a", "b"), ("c", "a"), ("b", "c"))}
+        fits = lambda pick: all(not pick[s][1] or not pick[t][1] or (pick[s][1], pick[t][1]) in pairs for (s, t), pairs in allowed.items())
+        totals = [sum(o[0] for o in choice) for choice in itertools.product(*offers.values()) if fits(dict(zip("abc", choice)))]
+        got = survivor.branch_and_bound(offers, allowed, 0.0)
+        assert (got is None and not totals) or got[0] == max(totals)
 
 
 def test_apportion():
@@ -82,11 +115,34 @@ def test_caps(spark):
     kept = sorted(r["id"] for r in out if r["kept"])
     want = sorted((i for i in range(60) if i != 1 and i % 5), key=lambda i: (-(i % 7), i))[:2]
     assert kept == sorted(["n1", "n2", "w001", *[f"w{i:03d}" for i in want]])
-    parted = caps.cap_decisions(_decisions(spark, rows), F.when(F.col("id") < "w030", "early").otherwise("late")).where("creator = 'big name' AND kept").groupBy("stratum").count().collect()
+    counted = caps.counted_decisions(_decisions(spark, rows))
+    order = [F.col("priorityScore").desc_nulls_last(), F.col("id").asc()]
+    halves = F.when(F.col("id") < "w030", "early").otherwise("late")
+    parted = caps.cap_contributors(counted, ["runId", "corpus", "creator"], "authorSoftMaximum", halves, order).where("creator = 'big name' AND kept").groupBy("stratum").count().collect()
     assert sum(r["count"] for r in parted) == 3 and len(parted) == 2
     assert caps.cap_decisions(_decisions(spark, rows).limit(0)).count() == 0
 
 
+def test_merit_keeps_the_best_of_each_contributor_and_shares_are_met(spark):
+    random.seed(9)
+    rows = [(s, c, f"{s}{c}{i}", random.randrange(5), random.choice("xyz"), 4 if c == "a" else None) for s in "pq" for c, n in (("a", 30), ("b", 9), ("c", 3), ("d", 1)) for i in range(n)]
+    df = spark.createDataFrame(rows, "s string, c string, id string, q int, kind string, cap int")
+    order = [F.col("q").desc(), F.col("id").asc()]
+    kept = {r["id"] for r in caps.cap_contributors(df, ["s", "c"], "cap", F.col("kind"), order, exponent=None).where("kept").collect()}
+    want = set()
+    for s in "pq":
+        for c in "abcd":
+            own = sorted((r for r in rows if r[0] == s and r[1] == c), key=lambda r: (-r[3], r[2]))
+            want |= {r[2] for r in (own[:4] if c == "a" else own)}
+    assert kept == want
+    none = df.withColumn("cap", F.lit(None).cast("int"))
+    for share in (0.3, 0.4, 0.5, 0.9):
+        out = caps.cap_contributors(none, ["s", "c"], "cap", F.lit("all"), order, share=share).where("kept").groupBy("s", "c").count().collect()
+        sizes = [30, 9, 3, 1]
+        most = max((c for c in range(1, 31) if c <= share * sum(min(n, c) for n in sizes)), default=1)
+        assert sorted(r["count"] for r in out) == sorted([min(n, most) for n in sizes] * 2)
+
+
 @pytest.mark.parametrize("text", ["", "word " * 3000, "x" * 20000, "ž" * 9000, "A line.\n" * 2000, "p one.\n\n" * 1500, "\n" * 7000, "😀" * 4000])
 def test_pieces_cover_and_fit(text):
     pieces = split.cut_text(text, 6000, 64, encoder())

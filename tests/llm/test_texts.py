@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from bookloom.llm import mix, names, pack, quality, scans, spans
 
@@ -28,7 +29,8 @@ def test_name_variants(spark):
     assert len(group) == 6 + 1 + 3
     works = {tuple(sorted((str(a), str(b)))) for a, b, k in pairs if k == "work"}
     assert both <= works and ("7", "8") not in works
-    assert {r["id"] for r in variants.classes().collect()} == {str(i) for i in range(1, 13)}
+    classes = {r["id"]: r for r in variants.classes().collect()}
+    assert set(classes) == {str(i) for i in range(1, 15)} and classes["13"]["links"] == 0 == classes["14"]["links"] and classes["13"]["person"] != classes["14"]["person"]
     assert names.Variants(_people(spark, rows[:0] or [("1", None, None)]).limit(0)).found().count() == 0
 
 
@@ -150,17 +152,24 @@ def test_packing_keeps_documents_whole(spark):
     docs = [(i, random.choice(["a", None]), "word " * random.randrange(0, 400), "x") for i in range(300)] + [(900, "a", "word " * 2500, "x"), (901, "a", None, "x"), (902, "zz", "word", "x")]
     df = spark.createDataFrame(docs, "doc_id bigint, corpus string, text string, box string")
     limits = spark.createDataFrame([("a", "large", 512, 0), ("a", "small", 64, 0), ("null", "small", 512, 0)], "corpus string, profile string, capacity_tokens bigint, overlap_tokens bigint")
-    out = pack.pack(df, limits, part_items=50).toPandas()
+    out_df = pack.pack(df, limits, part_items=50)
+    out = out_df.toPandas()
     assert out.groupby("container").tokens.sum().le(out.groupby("container").capacity.first()).all()
     assert set(out.doc_id) == {d[0] for d in docs} and not out.duplicated(["doc_id", "piece"]).any()
     assert (out[out.doc_id < 900].pieces == 1).all() and out[out.doc_id == 900].pieces.iloc[0] > 1
     assert pack.pack(df.limit(0), limits).count() == 0
+    proof = pack.certificate(out_df, limits.withColumn("max_files", F.lit(2))).toPandas().set_index("corpus")
+    assert (proof.containers >= proof.bound).all() and proof.tooMany["a"] and (proof.tooMany == (proof.containers > proof.max_files)).drop("zz").all()
+    with pytest.raises(ValueError):
+        pack.pack(df, limits.limit(0))
 
 
-def test_splitting_tree_uses_quotas_exactly():
-    q = np.array([7, 0, 31, 5])
+@pytest.mark.parametrize("scale", [1, 10**9])
+def test_splitting_tree_uses_quotas_exactly(scale):
+    q = np.array([7, 0, 31, 5]) * scale
     parts = [mix.shard_quotas(q, 6, k) for k in range(6)]
-    assert (sum(parts) == q).all() and all((p >= 0).all() for p in parts)
+    assert (sum(n for n, _ in parts) == q).all() and all((n >= 0).all() for n, _ in parts)
+    assert all((before == sum((n for n, _ in parts[:k]), 0 * q)).all() for k, (_, before) in enumerate(parts))
 
 
 def test_mix_reaches_shares(spark):
@@ -168,9 +177,13 @@ def test_mix_reaches_shares(spark):
     docs = [(i, "big" if i % 3 else "small", "word " * random.randrange(1, 60)) for i in range(3000)] + [(9001, None, "word"), (9002, "big", None)]
     df = spark.createDataFrame(docs, "doc_id bigint, source string, text string")
     targets = spark.createDataFrame([("Big ", 0.5, 1), ("small", 0.5, 3), ("big", None, 9), ("gone", 0.2, 1), (None, 0.1, 1)], "source string, target_share double, max_repeats int")
-    m = mix.Mix(df, targets, block_tokens=300, shard_tokens=9000)
-    shares = {r["source"]: r for r in m.shares().collect()}
-    assert abs(shares["big"]["share"] - 0.5) < 0.02 and shares["small"]["turns"] <= 3 and shares["gone"]["tokens"] == 0 and shares[""]["tokens"] == 0
+    for block in (300, 50_000):
+        m = mix.Mix(df, targets, block_tokens=block, shard_tokens=9000)
+        shares = {r["source"]: r for r in m.shares().collect()}
+        quota = {r["source"]: r["quota"] for r in m.plan.collect()}
+        # to half of a document, whatever the size of blocks
+        assert all(abs(shares[s]["tokens"] - quota[s]) <= 60 for s in ("big", "small"))
+        assert shares["small"]["turns"] <= 3 and shares["gone"]["tokens"] == 0 and shares[""]["tokens"] == 0
     rows = m.rows().toPandas()
     assert rows.groupby("doc_id").size().max() <= 3 and not rows.duplicated(["doc_id", "turn"]).any()
     assert rows.groupby("shard").position.max().eq(rows.groupby("shard").size()).all()
