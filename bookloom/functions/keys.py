@@ -16,6 +16,8 @@ EMPTY_AUTHOR = r"^(?:administrator|user|owner|scanner|uploader|unknown)$"
 # Words of an edition and of publishers that do not tell works apart.
 EDITION_WORDS = "edition|edn|revised|expanded|illustrated|retail|ebook|press|publisher"
 PUBLISHERS = "oxford|cambridge|penguin|routledge|springer|harvard|princeton|viking|anchor|norton"
+# Marks of editors and of further authors, and what stands between two names.
+EDITOR, EDITOR_END, OTHERS, CONJUNCTION = r"(?i)\((?:ed|eds|editor|editors)\.?\)", r"(?i)\b(?:ed|eds|editor|editors)\.?$", r"(?i)\bet\s+al\.?\b", r"(?i)\s+(?:and|a|&|et)\s+|;"
 # Tails of file names that are not part of a title.
 TITLE_TAILS = [r"(?i)\s+--\s+isbn\d*[\s\S]*$", r"(?i)\s+--\s+[a-f0-9]{16,}[\s\S]*$", r"(?i)\s*\((?:copy|retail|ebook|pdf)\s*\d*\)\s*$", r"\s+\(\d+\)\s*$"]
 
@@ -68,26 +70,33 @@ def work_hint_key(author_key: Column, title_key: Column) -> Column:
 
 
 def contributors(column: Column) -> Column:
-    """The names in a byline, in order: parted at conjunctions and semicolons, and at commas that do not turn a name around."""
-    text = F.regexp_replace(squeezed(column), r"(?i)\((?:ed|eds|editor|editors)\.?\)", " ")
-    text = squeezed(F.regexp_replace(F.regexp_replace(text, r"(?i)\b(?:ed|eds|editor|editors)\.?$", " "), r"(?i)\bet\s+al\.?\b", " "))
-    joint = r"(?i)\s+(?:and|a|&|et)\s+|;"
-    several = text.rlike(joint)
+    """The names in a byline, in order.
+
+    Conjunctions and semicolons part names.  So do commas where a part has at
+    least two, or one in a byline with a conjunction; but one comma after a
+    single word and before at most two is a name turned around.
+    """
+    text = squeezed(column)
+    for mark in (EDITOR, EDITOR_END, OTHERS):
+        text = F.regexp_replace(text, mark, " ")
+    text = squeezed(text)
+    joined = text.rlike(CONJUNCTION)
+    count = lambda words: F.size(F.split(words, r"\s+"))
 
     def names(part: Column) -> Column:
-        pieces = F.filter(F.transform(F.split(part, r"\s*,\s*"), squeezed), lambda p: p != "")
-        words = lambda p: F.size(F.split(p, r"\s+"))
-        turned = (words(F.get(pieces, F.lit(0))) == 1) & (words(F.get(pieces, F.lit(1))) <= 2)
-        return F.when(F.size(pieces) >= 3, pieces).when((F.size(pieces) != 2) | ~several | turned, F.array(squeezed(part))).otherwise(pieces)
+        pieces = F.filter(F.transform(F.split(part, ","), squeezed), lambda p: p != "")
+        turned = (count(F.get(pieces, F.lit(0))) == 1) & (count(F.get(pieces, F.lit(1))) <= 2)
+        listed = (F.size(pieces) > 2) | ((F.size(pieces) == 2) & joined & ~turned)
+        return F.when(listed, pieces).otherwise(F.array(squeezed(part)))
 
-    return F.filter(F.flatten(F.transform(F.split(text, joint), names)), lambda n: n != "")
+    return F.filter(F.flatten(F.transform(F.split(text, CONJUNCTION), names)), lambda n: n != "")
 
 
 def given_first(name: Column) -> Column:
     """``Surname, Given`` turned around where the surname has at most three words."""
-    pieces = F.filter(F.split(squeezed(name), r"\s*,\s*"), lambda p: p != "")
-    turn = (F.size(pieces) == 2) & (F.size(F.split(F.get(pieces, F.lit(0)), r"\s+")) <= 3)
-    return F.when(turn, F.concat_ws(" ", F.get(pieces, F.lit(1)), F.get(pieces, F.lit(0)))).otherwise(name)
+    pieces = F.filter(F.transform(F.split(name, ","), squeezed), lambda p: p != "")
+    surname, given = F.get(pieces, F.lit(0)), F.get(pieces, F.lit(1))
+    return F.when((F.size(pieces) == 2) & (F.size(F.split(surname, r"\s+")) <= 3), F.concat_ws(" ", given, surname)).otherwise(name)
 
 
 def file_part(column: Column, most: int = 180) -> Column:

@@ -17,6 +17,8 @@ EMPHASIS = [(r"(\*\*|__)([^*\n_][^\n]*?)(\1)", "$2"), (r"(^|[^*])\*([^*\n]+?)\*(
 SIGNALS = r"ï¿½|â€|Ã.|\x{FFFD}"
 # How lines begin that were put into a text: headings, anchors, context lines.
 NO_PAYLOAD = r"^(?:#{1,6}\s+|<a id=\"retrieval-[^\"]+\"></a>$|\[CORPUS_CONTEXT:)"
+# Noise in the first and the last characters of a text.
+FRONT_NOISE, END_NOISE = r"(?i)PRAISE FOR|promotional download", r"(?i)what(?:'|’)s next on your reading list|also of interest"
 #: Limits of a usable text.
 LEAST_BYTES, LEAST_WORDS = 2000, 300
 

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bookloom.plans import documents, packaging, portfolio, works
+from bookloom.plans import conversion, curation, documents, identity, packaging, portfolio, reports, works
 
-_MODULES = [documents, works, portfolio, packaging]
+_MODULES = [documents, works, portfolio, packaging, identity, conversion, curation, reports]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -10,9 +10,9 @@ from bookloom.sources.tables import table
 
 
 def usable_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """The outcome of each document: selected, an exact duplicate of another, or below the quality gate."""
+    """The outcome of each document: selected, an exact duplicate of another, or below the quality gate; a null text is empty and like no other."""
     d = table(spark, folder, "documents").select("doc_id", "text", "lang")
-    measured = d.select("doc_id", "lang", F.octet_length("text").alias("bytes"), F.regexp_count("text", F.lit(r"[^ \t\r\n]+")).alias("words"), F.sha2("text", 256).alias("hash"))
+    measured = d.select("doc_id", "lang", F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes"), F.coalesce(F.regexp_count("text", F.lit(r"[^ \t\r\n]+")), F.lit(0)).alias("words"), F.coalesce(F.sha2("text", 256), F.concat(F.lit("null:"), "doc_id")).alias("hash"))
     rank = F.when(F.col("lang").isin("cs", "en"), 0).when(F.col("lang").isNull(), 1).otherwise(2)
     # a maximum is combined before the shuffle, so many copies of one text are no burden
     best = measured.groupBy("hash").agg(F.min(F.struct(rank.alias("rank"), "doc_id")).alias("s"))
@@ -93,15 +93,15 @@ def payload_hash(spark: SparkSession, folder: str) -> DataFrame:
 def accounting_invariant(spark: SparkSession, folder: str) -> DataFrame:
     """Documents by outcome beside the documents there are."""
     rows = usable_documents(spark, folder).select(F.split("outcome", ":")[0].alias("outcome"))
-    counts = rows.groupBy().agg(F.count_if(F.col("outcome") == "selected").alias("selected"), F.count_if(F.col("outcome") == "exact_duplicate").alias("duplicates"), F.count_if(F.col("outcome") == "quality").alias("belowGate"))
+    counts = rows.agg(F.count_if(F.col("outcome") == "selected").alias("selected"), F.count_if(F.col("outcome") == "exact_duplicate").alias("duplicates"), F.count_if(F.col("outcome") == "quality").alias("belowGate"))
     return counts.crossJoin(table(spark, folder, "documents").agg(F.count(F.lit(1)).alias("documents"))).withColumn("balanced", F.col("selected") + F.col("duplicates") + F.col("belowGate") == F.col("documents"))
 
 
 QUERIES = {f.__name__: f for f in (usable_documents, doc_quality_gate, exact_duplicate_groups, text_sample, unit_metrics, line_corruption, sample_preflight, markdown_cleanup, markdown_normal, section_assembly, payload_hash, accounting_invariant)}
 
 _USABLE = r"""
-WITH m AS (SELECT doc_id, strlen(text) AS bytes, len(regexp_extract_all(text, '[^ \t\r\n]+')) AS words,
-        first_value(doc_id) OVER (PARTITION BY sha256(text) ORDER BY CASE WHEN lang IN ('cs', 'en') THEN 0 WHEN lang IS NULL THEN 1 ELSE 2 END, doc_id) AS survivor FROM documents)
+WITH m AS (SELECT doc_id, coalesce(strlen(text), 0) AS bytes, coalesce(len(regexp_extract_all(text, '[^ \t\r\n]+')), 0) AS words,
+        first_value(doc_id) OVER (PARTITION BY coalesce(sha256(text), 'null:' || doc_id) ORDER BY CASE WHEN lang IN ('cs', 'en') THEN 0 WHEN lang IS NULL THEN 1 ELSE 2 END, doc_id) AS survivor FROM documents)
 SELECT doc_id, bytes, words, CASE WHEN survivor <> doc_id THEN 'exact_duplicate:' || survivor
     WHEN bytes < 2000 AND words < 300 THEN 'quality:too_small+too_few_words' WHEN bytes < 2000 THEN 'quality:too_small' WHEN words < 300 THEN 'quality:too_few_words' ELSE 'selected' END AS outcome FROM m
 """

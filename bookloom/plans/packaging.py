@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bookloom.functions import keys as K
-from bookloom.operators import retrieval
+from bookloom.functions.identity import unit_anchor
+from bookloom.functions.text import word_count
+from bookloom.operators import retrieval, units
 from bookloom.plans import documents
-from bookloom.plans.portfolio import file_packing
+from bookloom.plans.portfolio import FILE_BYTES, FILE_TOKENS, file_packing
 from bookloom.session import materialize
 from bookloom.sources.tables import table
 
@@ -17,7 +19,15 @@ SURNAMES, NAME_LENGTH = 4, 80
 
 
 def _units(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "book_units").select("workId", "unitIndex", "unitCount", "author", "title", "content").dropDuplicates(["workId", "unitIndex", "content"])
+    """One row per work, unit and content: of several the greatest in count, author and title."""
+    u = table(spark, folder, "book_units").groupBy("workId", "unitIndex", "content").agg(F.max(F.struct("unitCount", "author", "title")).alias("r"))
+    return u.select("workId", "unitIndex", "r.unitCount", "r.author", "r.title", "content")
+
+
+def _latest(spark: SparkSession, folder: str) -> DataFrame:
+    """(id, unit, author, title, content, size) of every unit as last loaded, the row that is packed."""
+    u = table(spark, folder, "book_units").where("workId IS NOT NULL AND content IS NOT NULL").groupBy(F.col("workId").alias("id"), F.col("unitIndex").cast("bigint").alias("unit")).agg(F.max(F.struct("loadedAt", "corpus", "title", "content", "author")).alias("r"))
+    return u.select("id", "unit", "r.author", "r.title", "r.content", F.octet_length("r.content").alias("size"))
 
 
 def retrieval_units(spark: SparkSession, folder: str) -> DataFrame:
@@ -48,7 +58,10 @@ def surname_weights(spark: SparkSession, folder: str) -> DataFrame:
 def file_names(spark: SparkSession, folder: str) -> DataFrame:
     """The name of each packed file: its number and the surnames of most weight that fit."""
     packed = file_packing(spark, folder).where("file IS NOT NULL").select("id", "unit", "corpus", "file")
-    u = table(spark, folder, "book_units").select(F.col("workId").alias("id"), F.col("unitIndex").cast("bigint").alias("unit"), "author", F.octet_length("content").alias("size")).dropDuplicates(["id", "unit"])
+    return _names(packed, _latest(spark, folder).select("id", "unit", "author", "size"))
+
+
+def _names(packed: DataFrame, u: DataFrame) -> DataFrame:
     names = F.transform(K.contributors(F.col("author")), K.given_first)
     rows = materialize(packed.join(u, ["id", "unit"]).withColumn("n", F.greatest(F.size(names), F.lit(1))).select("corpus", "file", "n", "size", F.explode_outer(names).alias("name")), "names")
     surname = F.coalesce(F.nullif(F.element_at(F.split(K.ascii_key(F.col("name")), " "), -1), F.lit("")), F.lit("books"))
@@ -62,11 +75,47 @@ def file_names(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def file_report(spark: SparkSession, folder: str) -> DataFrame:
-    """Books, units and bytes of every packed file."""
+    """Books, units, bytes, words and largest unit of every packed file."""
     packed = file_packing(spark, folder).where("file IS NOT NULL").select("id", "unit", "corpus", "file")
-    u = table(spark, folder, "book_units").select(F.col("workId").alias("id"), F.col("unitIndex").cast("bigint").alias("unit"), F.octet_length("content").alias("size")).groupBy("id", "unit").agg(F.max("size").alias("size"))
-    return packed.join(u, ["id", "unit"]).groupBy("corpus", "file").agg(F.countDistinct("id").alias("books"), F.count(F.lit(1)).alias("units"), F.sum("size").alias("bytes"))
+    u = _latest(spark, folder).select("id", "unit", "size", word_count(F.col("content")).alias("words"))
+    return packed.join(u, ["id", "unit"]).groupBy("corpus", "file").agg(F.countDistinct("id").alias("books"), F.count(F.lit(1)).alias("units"), F.sum("size").alias("bytes"), F.sum("words").alias("words"), F.max("size").alias("largest"))
+
+
+def _named_units(spark: SparkSession, folder: str) -> DataFrame:
+    """Packed units with file name and anchor, as merged files take them."""
+    packed = materialize(file_packing(spark, folder).where("file IS NOT NULL").select("id", "unit", "corpus", "file"), "packed")
+    u = materialize(_latest(spark, folder), "units")
+    names = _names(packed, u.select("id", "unit", "author", "size"))
+    counts = packed.groupBy("id").agg(F.count(F.lit(1)).alias("unitCount"))
+    rows = packed.join(u, ["id", "unit"]).join(names, ["corpus", "file"]).join(counts, "id")
+    return rows.select("corpus", "file", "name", F.col("id").alias("workId"), "author", "title", F.col("unit").alias("unitIndex"), "unitCount", unit_anchor(F.col("id"), F.col("unit")).alias("anchor"), "content")
+
+
+def merged_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Every merged file with its name, bytes and the books it holds."""
+    bodies = units.merged_bodies(_named_units(spark, folder))
+    return bodies.select("corpus", "file", "name", F.octet_length("text").alias("bytes"), F.regexp_count("text", F.lit(r"(?m)^## BOOK: ")).alias("books"))
+
+
+def index_links(spark: SparkSession, folder: str) -> DataFrame:
+    """Per corpus the parts packed, the links of its index, and how many targets are not linked as often as they stand there."""
+    rows = materialize(_named_units(spark, folder), "named")
+    links = materialize(units.index_targets(units.corpus_index(rows)), "links")
+    expected = rows.select("corpus", F.concat_ws("#", "name", "anchor").alias("target"))
+    wrong = units.target_differences(expected, links).groupBy("corpus").agg(F.count(F.lit(1)).alias("wrong"))
+    counts = expected.groupBy("corpus").agg(F.count(F.lit(1)).alias("parts")).join(links.groupBy("corpus").agg(F.count(F.lit(1)).alias("links")), "corpus", "left")
+    return counts.join(wrong, "corpus", "left").na.fill(0)
+
+
+def book_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """Every unit, cut into parts of at most half a file, as counts and bytes."""
+    u = _latest(spark, folder).select(F.concat_ws("#", "id", "unit").alias("workId"), "content")
+    parts = units.book_units(u, FILE_BYTES // 2, FILE_TOKENS // 2)
+    return parts.groupBy("workId").agg(F.max("unitCount").alias("parts"), F.sum("bytes").alias("bytes"))
 
 
-QUERIES = {f.__name__: f for f in (retrieval_units, retrieval_payload, retrieval_problems, surname_weights, file_names, file_report)}
-SQL = {"retrieval_payload": documents.SQL["payload_hash"]}
+QUERIES = {f.__name__: f for f in (retrieval_units, retrieval_payload, retrieval_problems, surname_weights, file_names, file_report, merged_files, index_links, book_parts)}
+SQL = {
+    "retrieval_payload": documents.SQL["payload_hash"],
+    "book_parts": "SELECT workId || '#' || unitIndex AS workId, 1 AS parts, strlen(content) AS bytes FROM (SELECT *, row_number() OVER (PARTITION BY workId, unitIndex ORDER BY loadedAt DESC NULLS LAST, corpus DESC NULLS LAST, title DESC NULLS LAST, content DESC) AS k FROM book_units WHERE workId IS NOT NULL AND content IS NOT NULL) WHERE k = 1 AND strlen(content) <= 5505024",
+}

@@ -35,10 +35,17 @@ def identity_components(spark: SparkSession, folder: str) -> DataFrame:
     return components(edges).select(F.col("node").alias("id"), "component")
 
 
+def damage(spark: SparkSession, folder: str) -> DataFrame:
+    """(id, damage): wrongly decoded signs for every thousand words, the worst of a work's units as last loaded."""
+    u = table(spark, folder, "book_units").where("workId IS NOT NULL").select("workId", "unitIndex", "loadedAt", F.coalesce("quality.mojibakePerThousandWords", F.lit(0.0)).alias("d"))
+    last = u.groupBy("workId", "unitIndex").agg(F.max(F.struct("loadedAt", "d")).alias("r"))
+    return last.groupBy(F.col("workId").alias("id")).agg(F.max("r.d").alias("damage"))
+
+
 def duplicate_survivor(spark: SparkSession, folder: str) -> DataFrame:
-    """Of works with one canonical id the one that stays: must-include, role, priority, relevance, size, title."""
-    d = decisions(spark, folder).withColumn("key", F.coalesce("canonicalWorkId", "id"))
-    order = F.struct(-F.col("mustInclude").cast("int"), -S.role_weight(F.col("portfolioRole")), -F.col("comparativePriority"), -F.col("relevanceScore"), F.col("selectionSizeTokens"), F.col("title"), F.col("id").alias("id"))
+    """Of works with one canonical id the one that stays: must-include, role, priority, least damage, relevance, size, title."""
+    d = decisions(spark, folder).withColumn("key", F.coalesce("canonicalWorkId", "id")).join(damage(spark, folder), "id", "left")
+    order = F.struct(-F.col("mustInclude").cast("int"), -S.role_weight(F.col("portfolioRole")), -F.col("comparativePriority"), F.coalesce("damage", F.lit(0.0)), -F.col("relevanceScore"), F.col("selectionSizeTokens"), F.col("title"), F.col("id").alias("id"))
     best = d.groupBy("key").agg(F.min(order)["id"].alias("survivor"))
     return d.join(best, "key").select("id", F.when(F.col("id") == F.col("survivor"), "kept").otherwise(F.concat(F.lit("exact_duplicate:"), "survivor")).alias("outcome"))
 
@@ -114,15 +121,20 @@ def run_changes(spark: SparkSession, folder: str) -> DataFrame:
     return out.withColumn("onlyAppends", F.col("dropped") == 0)
 
 
-def portfolio_select(spark: SparkSession, folder: str) -> DataFrame:
-    """The portfolio of each corpus under the budget of its files, and why each other work is not in it."""
-    d = _prepared(spark, folder)
-    rows = d.select(
+def selection_rows(spark: SparkSession, folder: str, standalone: bool = False) -> DataFrame:
+    """Works as :func:`select_portfolio` takes them, with the worth of each alone if asked for."""
+    d = _prepared(spark, folder).join(damage(spark, folder), "id", "left")
+    return d.select(
         "corpus", "id", F.coalesce("title", F.lit("")).alias("title"), F.coalesce("creatorKey", F.lit("unknown")).alias("creator"), "static", "priority", S.role_weight(F.col("role")).alias("role"), F.col("relevanceScore").alias("relevance"), F.col("mustInclude").alias("must"),
-        F.lit(0.0).alias("damage"), (F.col("selectionSizeTokens") * TOKEN_BYTES).alias("bytes"), F.col("selectionSizeTokens").alias("tokens"), F.col("authorSoftMaximum").cast("double").alias("cap"), F.col("bundleLikeOrigin").alias("bundle"),
+        F.coalesce("damage", F.lit(0.0)).alias("damage"), (F.col("selectionSizeTokens") * TOKEN_BYTES).alias("bytes"), F.col("selectionSizeTokens").alias("tokens"), F.col("authorSoftMaximum").cast("double").alias("cap"), F.col("bundleLikeOrigin").alias("bundle"),
         F.coalesce("topicKeys", F.array().cast("array<string>")).alias("topics"), F.array_union(F.array("id"), F.coalesce("parts", F.array().cast("array<string>"))).alias("content"),
+        *([F.col("standaloneValue").alias("standalone")] if standalone else []),
     )
-    return select_portfolio(rows, FILES * FILE_BYTES, FILES * FILE_TOKENS)
+
+
+def portfolio_select(spark: SparkSession, folder: str) -> DataFrame:
+    """The portfolio of each corpus under the budget of its files, and why each other work is not in it."""
+    return select_portfolio(selection_rows(spark, folder), FILES * FILE_BYTES, FILES * FILE_TOKENS)
 
 
 def file_packing(spark: SparkSession, folder: str) -> DataFrame:
@@ -137,7 +149,7 @@ def file_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def creator_batches(spark: SparkSession, folder: str) -> DataFrame:
-    """Decisions in batches of ten, creator by creator in the order of keys, chunks of a creator together."""
+    """Decisions of each creator in chunks of ten, by id."""
     from bookloom.operators.ranking import rank_in_groups
 
     d = decisions(spark, folder).select("id", F.coalesce(F.lower(F.trim("creatorKey")), F.lit("unknown")).alias("creator"))
@@ -157,7 +169,8 @@ _DOUBLE = "greatest(0.0, log2(greatest(selectionSizeTokens, 1) / 250000.0))"
 SQL = {
     "identity_components": f"""WITH RECURSIVE {_D}, k AS (SELECT id, canonicalWorkId, lower(trim(creatorKey)) AS c FROM d), t AS (SELECT a.id AS x, b.id AS y FROM k a JOIN k b ON a.canonicalWorkId = b.id AND a.c = b.c AND a.id <> b.id), s AS (SELECT x, y FROM t UNION SELECT y, x FROM t),
 r AS (SELECT x, y FROM s UNION SELECT r.x, s.y FROM r JOIN s ON r.y = s.x) SELECT x AS id, least(x, min(y)) AS component FROM r GROUP BY x""",
-    "duplicate_survivor": f"""WITH {_D}, s AS (SELECT *, first_value(id) OVER (PARTITION BY coalesce(canonicalWorkId, id) ORDER BY mustInclude DESC, {_ROLE.format('portfolioRole')} DESC, comparativePriority DESC, relevanceScore DESC, selectionSizeTokens, title, id) AS survivor FROM d)
+    "duplicate_survivor": f"""WITH {_D}, u AS (SELECT workId, coalesce(quality.mojibakePerThousandWords, 0) AS g, row_number() OVER (PARTITION BY workId, unitIndex ORDER BY loadedAt DESC, quality.mojibakePerThousandWords DESC NULLS LAST) AS k FROM book_units),
+m AS (SELECT workId, max(g) AS damage FROM u WHERE k = 1 GROUP BY workId), s AS (SELECT d.id, first_value(d.id) OVER (PARTITION BY coalesce(canonicalWorkId, d.id) ORDER BY mustInclude DESC, {_ROLE.format('portfolioRole')} DESC, comparativePriority DESC, coalesce(damage, 0), relevanceScore DESC, selectionSizeTokens, title, d.id) AS survivor FROM d LEFT JOIN m ON m.workId = d.id)
 SELECT id, CASE WHEN id = survivor THEN 'kept' ELSE 'exact_duplicate:' || survivor END AS outcome FROM s""",
     "containment_closure": f"WITH {_PATHS} SELECT whole, part FROM p",
     "topic_inheritance": f"WITH {_PATHS}, o AS (SELECT id, unnest(topicKeys) AS topic FROM d), a AS (SELECT id, topic FROM o UNION SELECT p.whole, o.topic FROM p JOIN o ON o.id = p.part) SELECT id, string_agg(topic, ',' ORDER BY topic) AS topics, count(*) AS n FROM a GROUP BY id",
