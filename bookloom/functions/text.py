@@ -17,6 +17,10 @@ EMPHASIS = [(r"(\*\*|__)([^*\n_][^\n]*?)(\1)", "$2"), (r"(^|[^*])\*([^*\n]+?)\*(
 SIGNALS = r"ï¿½|â€|Ã.|\x{FFFD}"
 # How lines begin that were put into a text: headings, anchors, context lines.
 NO_PAYLOAD = r"^(?:#{1,6}\s+|<a id=\"retrieval-[^\"]+\"></a>$|\[CORPUS_CONTEXT:)"
+# Words and traces of wrong decoding in a sample, and what parts its head from its tail.
+SAMPLE_WORDS, SAMPLE_MARKS, SAMPLE_END = r"[\p{L}\p{N}]+", "Ã.|Â.|â€|ðŸ", "\n\n[END SAMPLE]\n\n"
+# What is taken out of an extracted sample, and its length.
+SAMPLE_DROPS, SAMPLE_CHARS = [r"(?i)<script[\s\S]*?</script>", r"(?i)<style[\s\S]*?</style>", r"<[^>]+>", r"[_*#>`\[\]]"], 9000
 # Noise in the first and the last characters of a text.
 FRONT_NOISE, END_NOISE = r"(?i)PRAISE FOR|promotional download", r"(?i)what(?:'|’)s next on your reading list|also of interest"
 #: Limits of a usable text.
@@ -93,3 +97,24 @@ def corrupted_line(line: Column) -> Column:
 def payload(text: Column) -> Column:
     """The lines that carry text: no blanks, headings, anchors and context lines."""
     return F.array_join(F.filter(F.split(text, r"\r?\n"), lambda x: x.rlike(r"\S") & ~x.rlike(NO_PAYLOAD)), "\n")
+
+
+def sample_status(lost: Column, marks: Column, words: Column, failed: Column) -> Column:
+    """``extraction_failed``, ``unreadable``, ``too_short`` or ``ok`` for the counts of a sample."""
+    return F.when(failed, "extraction_failed").when((lost > 20) | (marks > 60), "unreadable").when(words < 30, "too_short").otherwise("ok")
+
+
+def extracted_sample(text: Column) -> Column:
+    """A sample without scripts, styles, markup and Markdown signs, in single spaces, cut to a length."""
+    text = F.coalesce(text, F.lit(""))
+    for pattern in SAMPLE_DROPS:
+        text = F.regexp_replace(text, pattern, " ")
+    return F.substring(F.trim(F.regexp_replace(text, r"(?U)\s+", " ")), 1, SAMPLE_CHARS)
+
+
+def duration(milliseconds: Column) -> Column:
+    """A time as hours, minutes and seconds; ``unknown`` for null, negative and no number."""
+    s = F.round(milliseconds / 1000).cast("bigint")
+    parts = [F.when(s >= 3600, F.concat(F.floor(s / 3600).cast("string"), F.lit("h"))), F.when(s >= 60, F.concat(F.floor(s % 3600 / 60).cast("string"), F.lit("m"))), F.concat((s % 60).cast("string"), F.lit("s"))]
+    bad = milliseconds.isNull() | F.isnan(milliseconds.cast("double")) | (milliseconds < 0)
+    return F.when(bad, "unknown").otherwise(F.concat_ws(" ", *parts))

@@ -13,7 +13,7 @@ from pyspark.sql.types import LongType, MapType, StringType
 #: A cut is moved back to a line end or space in this last part of the longest prefix that fits.
 LAST_PART = 0.25
 # What parts paragraphs, links from an index into a file, and the anchor and heading of a section.
-PARAGRAPHS, LINK, SECTION = r"\n{2,}", r"\]\(\./([^#)]+\.md)#([^)]+)\)", r"<a id=\"(retrieval-[^\"]+)\"></a>\n+#{1,6}\s+([A-Z]+):\s+([^\n]+)"
+PARAGRAPHS, LINK, SECTION = r"\n{2,}", r"\]\(\./([^#)]+\.md)#([^)]+)\)", r"<a id=\"(retrieval-[^\"]+)\"></a>\n(?:[^\n]*\n){0,2}?###\s+([A-Z ]+):\s+([^\n]+)"
 
 
 def quarter_bytes(text: str) -> int:
@@ -162,3 +162,29 @@ def write_merged(bodies: DataFrame, folder: str, byte_limit: int) -> None:
     size = F.octet_length("text")
     checked = F.when(size > byte_limit, F.raise_error(F.concat(F.col("name"), F.lit(" has "), size.cast("string"), F.lit(" bytes")))).otherwise(F.col("text"))
     bodies.select("corpus", "name", checked.alias("value")).repartition("corpus", "name").write.mode("overwrite").partitionBy("corpus", "name").text(folder)
+
+
+def merged_problems(bodies: DataFrame) -> DataFrame:
+    """(corpus, name, line, problem): where merged files (corpus, name, text) break a rule; lines count from 1, 0 is the whole file.
+
+    Id, author and title stand within 19 lines of a book's heading; inside a book,
+    that is up to the next heading of level 1, no heading is of level 1 or 2 but
+    another book's; a page or section has a context line within six lines; a file
+    has a book and a context line at least.
+    """
+    lines = bodies.select("corpus", "name", F.split("text", r"\r?\n").alias("x"))
+    at = lambda pattern: F.filter(F.transform("x", lambda v, i: F.when(v.rlike(pattern), i + 1)), lambda i: i.isNotNull())
+    marks = lines.select("corpus", "name", at(r"^## BOOK: ").alias("books"), at(r"^#\s").alias("tops"), at(r"^##?\s").alias("heads"), at(r"^\[CORPUS_CONTEXT:").alias("contexts"), at(r"^#### (?:PAGE|SOURCE SECTION): ").alias("bounds"), at(r"^BOOK_ID: \S").alias("ids"), at(r"^AUTHOR: ").alias("authors"), at(r"^TITLE: ").alias("titles"))
+    near = lambda i, places, most: F.exists(places, lambda k: (k > i) & (k <= i + most))
+    bare = F.filter("books", lambda i: ~(near(i, "ids", 19) & near(i, "authors", 19) & near(i, "titles", 19)))
+    # the last book or top heading before a heading tells whether that stands inside a book
+    last = lambda places, i: F.coalesce(F.array_max(F.filter(places, lambda k: k < i)), F.lit(0))
+    nested = F.filter("heads", lambda i: ~F.array_contains("books", i) & ~F.array_contains("tops", i) & (last("books", i) > last("tops", i)))
+    far = F.filter("bounds", lambda i: ~near(i, "contexts", 6))
+
+    def told(places: Column, what: str) -> Column:
+        return F.transform(places, lambda i: F.struct(i.alias("line"), F.lit(what).alias("problem")))
+
+    found = [told(bare, "book_without_data"), told(nested, "nested_heading"), told(far, "boundary_without_context")]
+    whole = F.array_compact(F.array(*[F.when(F.size(c) == 0, F.struct(F.lit(0).alias("line"), F.lit(what).alias("problem"))) for c, what in (("books", "no_book"), ("contexts", "no_context"))]))
+    return marks.select("corpus", "name", F.inline(F.concat(*found, whole)))

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from bookloom.functions import keys as K
 from bookloom.operators import closure
+from bookloom.operators.atlas import fingerprints
 from bookloom.operators.batches import next_fit
 from bookloom.operators.frontier import conversion_frontier as plan_frontier
 from bookloom.operators.graph import components, star_edges
 from bookloom.operators.ranking import rank_in_groups
-from bookloom.plans.portfolio import decisions, selection_rows
+from bookloom.plans.portfolio import TOKEN_BYTES, decisions, selection_rows
+from bookloom.plans.sql import contributor_steps, squeezed_sql
 from bookloom.plans.works import format_rank
 from bookloom.session import materialize
 from bookloom.sources.tables import table
@@ -20,6 +22,8 @@ from bookloom.sources.tables import table
 ROLES = ["redundant", "specialized", "supporting", "strong", "core", "essential"]
 #: Works of a corpus that are converted, works of a batch, least length of a key.
 CANDIDATES, BATCH, KEY = 360, 10, 3
+#: Characters of a summary that is shown.
+SUMMARY = 240
 
 
 def _catalog(spark: SparkSession, folder: str) -> DataFrame:
@@ -122,6 +126,29 @@ def decision_warnings(spark: SparkSession, folder: str) -> DataFrame:
     return outside.select("id", "code", "ref", F.when(F.col("code") == "unknown_canonical_work", "replaced_with_self").otherwise("omitted").alias("action"))
 
 
+def compact_works(spark: SparkSession, folder: str) -> DataFrame:
+    """Works as a curator is shown them: a short summary, the creator's number of works, sources, and tokens guessed from the largest source."""
+    v = F.col("sourceVariants")
+    rows = table(spark, folder, "catalog_works").where("id IS NOT NULL").groupBy("id").agg(F.max(F.struct("classifiedAt", "author", "title", "contentType", "summaryCz", F.coalesce(F.size(v), F.lit(0)).alias("sources"), F.array_max(F.transform(v, lambda x: x["size"])).alias("bytes"))).alias("r"))
+    roster = creator_roster(spark, folder).select("id", F.col("works").alias("creatorWorks"))
+    shown = F.substring(K.squeezed(F.col("r.summaryCz")), 1, SUMMARY)
+    return rows.join(roster, "id").select("id", "r.contentType", shown.alias("summary"), "creatorWorks", F.greatest(F.col("r.sources"), F.lit(0)).alias("sources"), F.ceil(F.coalesce("r.bytes", F.lit(0)) / TOKEN_BYTES).alias("tokens"))
+
+
+def catalog_order(spark: SparkSession, folder: str) -> DataFrame:
+    """The place of each work in the catalogue: by target, priority, author, title and id."""
+    rows = table(spark, folder, "catalog_works").where("id IS NOT NULL").groupBy("id").agg(F.max(F.struct("classifiedAt", "author", "title", F.coalesce("target", F.lit("")).alias("target"), F.coalesce("priorityScore", F.lit(-1)).alias("p"))).alias("r"))
+    keyed = rows.select("id", "r.target", "r.p", F.coalesce("r.author", F.lit("")).alias("a"), F.coalesce("r.title", F.lit("")).alias("t"))
+    return rank_in_groups(keyed, [], [F.col("target"), F.col("p").desc(), F.col("a"), F.col("t"), F.col("id")], out="place").select("id", F.col("place").cast("bigint").alias("place"))
+
+
+def work_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """A fingerprint of what curation sees of each work; a new one means the work must be looked at again."""
+    fields = ["id", "title", "contentType", "relevanceScore", "priorityScore"]
+    rows = table(spark, folder, "catalog_works").where("id IS NOT NULL").groupBy("id").agg(F.max(F.struct("classifiedAt", "author", *fields[1:])).alias("r"))
+    return fingerprints(rows.select("id", *[F.col(f"r.{c}").alias(c) for c in fields[1:]]), "id", fields)
+
+
 def conversion_frontier(spark: SparkSession, folder: str) -> DataFrame:
     """Which works of each corpus are converted, and why; known are those that an earlier run decided on."""
     d = materialize(selection_rows(spark, folder, standalone=True), "frontier")
@@ -131,30 +158,14 @@ def conversion_frontier(spark: SparkSession, folder: str) -> DataFrame:
     return plan_frontier(d, paths, CANDIDATES, known=earlier)
 
 
-QUERIES = {f.__name__: f for f in (work_identity, representatives, portfolio_entries, portfolio_summary, creator_roster, curation_batches, decision_warnings, conversion_frontier)}
-
-_S = K.SPACE
-
-
-def _squeezed(c: str) -> str:
-    return f"trim(regexp_replace(coalesce({c}, ''), '{_S}+', ' ', 'g'))"
-
+QUERIES = {f.__name__: f for f in (work_identity, representatives, portfolio_entries, portfolio_summary, creator_roster, curation_batches, decision_warnings, compact_works, catalog_order, work_fingerprints, conversion_frontier)}
 
-def _key(c: str) -> str:
-    return f"trim(regexp_replace(replace(lower(strip_accents({_squeezed(c)})), '&', ' and '), '[^a-z0-9]+', ' ', 'g'))"
+_squeezed = squeezed_sql
 
 
-_TEXT = _squeezed("author")
-for _mark in (K.EDITOR, K.EDITOR_END, K.OTHERS):
-    _TEXT = f"regexp_replace({_TEXT}, '{_mark}', ' ', 'g')"
 _CATALOG = f"""c0 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY classifiedAt DESC NULLS LAST, author DESC NULLS LAST, title DESC NULLS LAST) AS k FROM catalog_works WHERE id IS NOT NULL) WHERE k = 1),
-c1 AS (SELECT *, {_squeezed(_TEXT)} AS byline FROM c0), c2 AS (SELECT *, regexp_matches(byline, '{K.CONJUNCTION}') AS joined, regexp_split_to_array(byline, '{K.CONJUNCTION}') AS parts FROM c1),
-c3 AS (SELECT *, list_filter(flatten(list_transform(parts, lambda p: CASE WHEN len(list_filter(list_transform(string_split(p, ','), lambda x: {_squeezed('x')}), lambda x: x <> '')) > 2
-    OR (len(list_filter(list_transform(string_split(p, ','), lambda x: {_squeezed('x')}), lambda x: x <> '')) = 2 AND joined AND NOT (len(string_split(list_filter(list_transform(string_split(p, ','), lambda x: {_squeezed('x')}), lambda x: x <> '')[1], ' ')) = 1 AND len(string_split(list_filter(list_transform(string_split(p, ','), lambda x: {_squeezed('x')}), lambda x: x <> '')[2], ' ')) <= 2))
-    THEN list_filter(list_transform(string_split(p, ','), lambda x: {_squeezed('x')}), lambda x: x <> '') ELSE [{_squeezed('p')}] END)), lambda x: x <> '')[1] AS name FROM c2),
-c4 AS (SELECT *, list_filter(list_transform(string_split(coalesce(name, ''), ','), lambda x: {_squeezed('x')}), lambda x: x <> '') AS two FROM c3),
-c AS (SELECT id, author, title, canonicalKey, canonicalWorkId, priorityScore, relevanceScore, coalesce(list_min(list_transform(sourceVariants, lambda v: CASE lower(v.extension) WHEN '.md' THEN 0 WHEN '.epub' THEN 1 WHEN '.pdf' THEN 2 ELSE 3 END)), 99) AS format,
-    coalesce(nullif({_key("CASE WHEN len(two) = 2 AND len(string_split(two[1], ' ')) <= 3 THEN two[2] || ' ' || two[1] ELSE coalesce(name, '') END")}, ''), 'unknown') AS creator FROM c4)"""
+{contributor_steps('c', 'c0')},
+c AS (SELECT id, author, title, canonicalKey, canonicalWorkId, priorityScore, relevanceScore, coalesce(list_min(list_transform(sourceVariants, lambda v: CASE lower(v.extension) WHEN '.md' THEN 0 WHEN '.epub' THEN 1 WHEN '.pdf' THEN 2 ELSE 3 END)), 99) AS format, coalesce(nullif(nameKeys[1], ''), 'unknown') AS creator FROM c3)"""
 _IDENTITY = f"""{_CATALOG}, t AS (SELECT a.id AS x, b.id AS y FROM c a JOIN c b ON a.canonicalWorkId = b.id AND a.creator = b.creator
     UNION SELECT a.id, b.id FROM c a JOIN c b ON a.creator = b.creator AND lower(trim(a.canonicalKey)) = lower(trim(b.canonicalKey)) WHERE length({_squeezed('a.canonicalKey')}) >= 3 AND length({_squeezed('b.canonicalKey')}) >= 3),
 s AS (SELECT x, y FROM t UNION SELECT y, x FROM t), r AS (SELECT x, y FROM s UNION SELECT r.x, s.y FROM r JOIN s ON r.y = s.x), g AS (SELECT c.id, least(c.id, coalesce(min(y), c.id)) AS component FROM c LEFT JOIN r ON x = c.id GROUP BY c.id)"""
@@ -177,6 +188,9 @@ SELECT sum(n) AS works, sum(n - 1) AS duplicates, count_if(n > 1) AS duplicateGr
 b AS (SELECT 1::BIGINT AS i, 1::BIGINT AS batch, size AS held FROM h WHERE i = 1 UNION ALL
     SELECT h.i, b.batch + CASE WHEN b.held >= 10 OR b.held + h.size > 10 THEN 1 ELSE 0 END, CASE WHEN b.held >= 10 OR b.held + h.size > 10 THEN h.size ELSE b.held + h.size END FROM b JOIN h ON h.i = b.i + 1)
 SELECT id, creator, chunk, batch FROM q JOIN h USING (creator, chunk) JOIN b USING (i)""",
+    "compact_works": f"""WITH {_ROSTER} SELECT c0.id, contentType, substr({squeezed_sql('summaryCz')}, 1, 240) AS summary, works AS creatorWorks, coalesce(len(sourceVariants), 0) AS sources, CAST(ceil(coalesce(list_max(list_transform(sourceVariants, lambda v: v.size)), 0) / 4.0) AS BIGINT) AS tokens FROM c0 JOIN p USING (id)""",
+    "catalog_order": "SELECT id, row_number() OVER (ORDER BY coalesce(target, ''), coalesce(priorityScore, -1) DESC, coalesce(author, ''), coalesce(title, ''), id) AS place FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY classifiedAt DESC NULLS LAST, author DESC NULLS LAST, title DESC NULLS LAST) AS k FROM catalog_works WHERE id IS NOT NULL) WHERE k = 1",
+    "work_fingerprints": "SELECT id, sha256(CAST(to_json({'id': id, 'title': title, 'contentType': contentType, 'relevanceScore': relevanceScore, 'priorityScore': priorityScore}) AS VARCHAR)) AS fingerprint FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY classifiedAt DESC NULLS LAST, author DESC NULLS LAST, title DESC NULLS LAST) AS k FROM catalog_works WHERE id IS NOT NULL) WHERE k = 1",
     "decision_warnings": f"""WITH {_D}, k AS (SELECT *, coalesce(lower(trim(creatorKey)), 'unknown') AS creator FROM d),
 r AS (SELECT id, corpus, creator, 'unknown_canonical_work' AS code, canonicalWorkId AS ref FROM k WHERE canonicalWorkId IS NOT NULL UNION SELECT id, corpus, creator, 'invalid_contains_relation', unnest(containsWorkIds) FROM k UNION SELECT id, corpus, creator, 'invalid_contained_by_relation', unnest(containedByWorkIds) FROM k)
 SELECT r.id, code, ref, CASE WHEN code = 'unknown_canonical_work' THEN 'replaced_with_self' ELSE 'omitted' END AS action FROM r WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.id = ref AND k.corpus = r.corpus AND k.creator = r.creator) OR (ref = r.id AND code <> 'unknown_canonical_work')""",

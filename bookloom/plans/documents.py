@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bookloom.functions import text as T
+from bookloom.session import materialize
 from bookloom.sources.tables import table
 
 
@@ -14,6 +15,7 @@ def usable_documents(spark: SparkSession, folder: str) -> DataFrame:
     d = table(spark, folder, "documents").select("doc_id", "text", "lang")
     measured = d.select("doc_id", "lang", F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes"), F.coalesce(F.regexp_count("text", F.lit(r"[^ \t\r\n]+")), F.lit(0)).alias("words"), F.coalesce(F.sha2("text", 256), F.concat(F.lit("null:"), "doc_id")).alias("hash"))
     rank = F.when(F.col("lang").isin("cs", "en"), 0).when(F.col("lang").isNull(), 1).otherwise(2)
+    measured = materialize(measured, "measured")  # texts are read and hashed once
     # a maximum is combined before the shuffle, so many copies of one text are no burden
     best = measured.groupBy("hash").agg(F.min(F.struct(rank.alias("rank"), "doc_id")).alias("s"))
     kept = measured.join(best.select("hash", F.col("s.doc_id").alias("survivor")), "hash")
@@ -36,7 +38,7 @@ def exact_duplicate_groups(spark: SparkSession, folder: str) -> DataFrame:
 
 def text_sample(spark: SparkSession, folder: str) -> DataFrame:
     """The head and tail of long documents, short ones whole, as a hash and a length."""
-    body = F.when(F.length("text") > 18000, F.concat(F.substring("text", 1, 14000), F.lit("\n\n[...]\n\n"), F.right("text", F.lit(4000)))).otherwise(F.col("text"))
+    body = F.when(F.length("text") > 18000, F.concat(F.substring("text", 1, 14000), F.lit(T.SAMPLE_END), F.right("text", F.lit(4000)))).otherwise(F.col("text"))
     return table(spark, folder, "documents").select("doc_id", F.length(body).alias("sampleChars"), F.sha2(body, 256).alias("sampleHash"))
 
 
@@ -58,11 +60,10 @@ def line_corruption(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sample_preflight(spark: SparkSession, folder: str) -> DataFrame:
-    """Whether a document can be judged at all: unreadable, too short, or ready."""
+    """Whether a document can be judged at all: not extracted, unreadable, too short, or ok."""
     t = F.col("text")
-    lost, marks, words = F.regexp_count(t, F.lit(r"\x{FFFD}")), F.regexp_count(t, F.lit("Ã|â€|ï¿½")), T.word_count(t)
-    status = F.when((F.col("lost") > 20) | (F.col("marks") > 60), "unreadable").when(F.col("words") < 30, "too_short").otherwise("ready")
-    return table(spark, folder, "documents").select("doc_id", lost.alias("lost"), marks.alias("marks"), words.alias("words")).withColumn("status", status)
+    lost, marks, words = (F.coalesce(F.regexp_count(t, F.lit(p)), F.lit(0)) for p in (r"\x{FFFD}", T.SAMPLE_MARKS, T.SAMPLE_WORDS))
+    return table(spark, folder, "documents").select("doc_id", lost.alias("lost"), marks.alias("marks"), words.alias("words"), T.sample_status(lost, marks, words, t.isNull()).alias("status"))
 
 
 def markdown_cleanup(spark: SparkSession, folder: str) -> DataFrame:
@@ -125,7 +126,7 @@ SQL = {
 SELECT *, CASE WHEN bytes < 2000 AND words < 300 THEN 'too_small+too_few_words' WHEN bytes < 2000 THEN 'too_small' WHEN words < 300 THEN 'too_few_words' ELSE '' END AS reasons, signals > greatest(20.0, words / 500.0) AS heavyMojibake
 FROM (SELECT doc_id, strlen(text) AS bytes, {_n('[^\\s\\x{0B}]+')} AS words, {_n(T.SIGNALS)} AS signals FROM documents)""",
     "exact_duplicate_groups": "SELECT sha256(text) AS hash, min(doc_id) AS first_doc, count(*) AS copies FROM documents GROUP BY 1 HAVING count(*) > 1",
-    "text_sample": "SELECT doc_id, length(body) AS sampleChars, sha256(body) AS sampleHash FROM (SELECT doc_id, CASE WHEN length(text) > 18000 THEN substr(text, 1, 14000) || chr(10) || chr(10) || '[...]' || chr(10) || chr(10) || right(text, 4000) ELSE text END AS body FROM documents)",
+    "text_sample": "SELECT doc_id, length(body) AS sampleChars, sha256(body) AS sampleHash FROM (SELECT doc_id, CASE WHEN length(text) > 18000 THEN substr(text, 1, 14000) || chr(10) || chr(10) || '[END SAMPLE]' || chr(10) || chr(10) || right(text, 4000) ELSE text END AS body FROM documents)",
     "unit_metrics": rf"""SELECT DISTINCT workId, unitIndex, strlen(content) AS bytes, length(content) AS characters, {_n('[^\\s\\x{0B}]+', 'content')} AS words, {_n('(?m)^## Page \\d+\\r?$', 'content')} AS pageMarks,
     {_n('(?m)^## Section \\d+\\r?$', 'content')} AS sectionMarks, {_n('â|Â|\\x{FFFD}', 'content')} AS signals, {_n('https?://\\S+', 'content')} AS urls FROM book_units""",
     "line_corruption": rf"""
@@ -133,7 +134,7 @@ WITH l AS (SELECT doc_id, line, trim(line) AS body FROM (SELECT doc_id, unnest(r
 m AS (SELECT *, {_n(T.SIGNALS, 'body')} AS s, greatest(length(regexp_replace(body, '[\s\x{{0B}}]', '', 'g')), 1) AS v, {_n('\\p{L}', 'body')} AS letters, {_n('[\\p{L}\\p{N}]{2,}', 'body')} AS wordy FROM l)
 SELECT doc_id, count(*) AS removedLines, sum(strlen(line) + 1) AS removedBytes FROM m
 WHERE body <> '' AND NOT regexp_matches(body, '^#{{1,6}}\s') AND ((s >= 8 AND s / v >= 0.08) OR (s >= 4 AND s / v >= 0.14) OR (s >= 6 AND letters / v < 0.18 AND wordy < 5)) GROUP BY doc_id""",
-    "sample_preflight": rf"SELECT *, CASE WHEN lost > 20 OR marks > 60 THEN 'unreadable' WHEN words < 30 THEN 'too_short' ELSE 'ready' END AS status FROM (SELECT doc_id, {_n('\\x{FFFD}')} AS lost, {_n('Ã|â€|ï¿½')} AS marks, {_n('[^\\s\\x{0B}]+')} AS words FROM documents)",
+    "sample_preflight": rf"SELECT doc_id, lost, marks, words, CASE WHEN text IS NULL THEN 'extraction_failed' WHEN lost > 20 OR marks > 60 THEN 'unreadable' WHEN words < 30 THEN 'too_short' ELSE 'ok' END AS status FROM (SELECT doc_id, text, coalesce({_n('\\x{FFFD}')}, 0) AS lost, coalesce({_n('Ã.|Â.|â€|ðŸ')}, 0) AS marks, coalesce({_n('[\\p{L}\\p{N}]+')}, 0) AS words FROM documents)",
     "markdown_normal": f"SELECT DISTINCT workId, unitIndex, length(b) AS characters, sha256(b) AS hash FROM (SELECT workId, unitIndex, CASE WHEN body = '' THEN '' ELSE body || chr(10) END AS b FROM (SELECT workId, unitIndex, {_BODY} AS body FROM book_units))",
     "section_assembly": rf"""SELECT workId, count(*) AS sections, sha256(string_agg('## Section ' || sectionIndex || chr(10) || chr(10) || text, chr(10) || chr(10) ORDER BY sectionIndex NULLS FIRST, doc_id)) AS hash
 FROM documents WHERE workId IS NOT NULL AND {_n('[^\\s\\x{0B}]+')} >= 10 GROUP BY workId""",

@@ -59,6 +59,15 @@ def catalog_groups(spark: SparkSession, folder: str) -> DataFrame:
     return works.select(final.alias("key"), K.stable_id("catalog", final).alias("workId"), F.col("best.id").alias("representative"), "members", "keys", (F.col("targets") > 1).alias("targetsDisagree"), (F.coalesce(F.col("best.confidence"), F.lit("")) == "low").alias("lowConfidence"))
 
 
+def review_candidates(spark: SparkSession, folder: str) -> DataFrame:
+    """Records to be looked at again: those of low confidence, and those that share a canonical key with others."""
+    rows = materialize(_responses(spark, folder).select("id", "confidence", I.canonical_key(F.col("canonical_key"), F.col("author"), F.col("title"), F.col("content_type"), F.lit("")).alias("key")), "keys")
+    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    low = F.coalesce(F.col("confidence"), F.lit("")) == "low"
+    out = rows.join(shared, "key", "left").where(low | F.col("members").isNotNull())
+    return out.select("id", low.alias("lowConfidence"), F.coalesce("members", F.lit(1)).alias("members"))
+
+
 def output_names(spark: SparkSession, folder: str) -> DataFrame:
     """The name of each work's file, made of author and title; equal names are told apart by the id."""
     best = F.array_min(F.transform("sourceVariants", lambda v: F.struct(format_rank(v["extension"]).alias("f"), v["extension"].alias("e"))))["e"]
@@ -67,7 +76,7 @@ def output_names(spark: SparkSession, folder: str) -> DataFrame:
     return I.unique_names(named, "name", "id").select("id", "outputName", I.unit_anchor(F.col("id"), F.lit(1)).alias("anchor"))
 
 
-QUERIES = {f.__name__: f for f in (name_hints, bundle_origins, canonical_keys, catalog_groups, output_names)}
+QUERIES = {f.__name__: f for f in (name_hints, bundle_origins, canonical_keys, catalog_groups, review_candidates, output_names)}
 
 _S = K.SPACE
 
@@ -152,6 +161,8 @@ s AS (SELECT own, key || CASE WHEN content_type = 'article' AND regexp_matches(o
 m AS (SELECT c.*, shown, row_number() OVER (PARTITION BY shown ORDER BY {_RANKS.format('confidence')} DESC, coalesce(priority_score, -1) DESC, coalesce(relevance_score, -1) DESC, {_EVIDENCE.format('evidence')} DESC, id) AS place FROM c JOIN s ON own = key),
 g AS (SELECT shown, count(*) AS members, count(DISTINCT key) AS keys, min(key) AS key, count(DISTINCT CASE WHEN target IN ('corpus_a', 'corpus_b') THEN target END) > 1 AS targetsDisagree, max(CASE WHEN place = 1 THEN id END) AS representative, bool_or(place = 1 AND confidence IS NOT DISTINCT FROM 'low') AS lowConfidence FROM m GROUP BY shown)
 SELECT CASE WHEN keys = 1 THEN key ELSE shown END AS key, 'catalog_' || substr(sha1(CASE WHEN keys = 1 THEN key ELSE shown END), 1, 16) AS workId, representative, members, keys, targetsDisagree, lowConfidence FROM g""",
+    "review_candidates": f"""WITH {_R}, {_canonical('k', 'r', 'canonical_key', 'author', 'title', 'content_type')}, m AS (SELECT id, coalesce(confidence, '') = 'low' AS lowConfidence, count(*) OVER (PARTITION BY key) AS members FROM k)
+SELECT id, lowConfidence, members FROM m WHERE lowConfidence OR members > 1""",
     "output_names": f"""WITH w AS (SELECT id, author, title, lower(coalesce(list_sort(list_transform(sourceVariants, lambda v: {{'f': CASE lower(v.extension) WHEN '.md' THEN 0 WHEN '.epub' THEN 1 WHEN '.pdf' THEN 2 ELSE 3 END, 'e': v.extension}}))[1].e, '.md')) AS e FROM catalog_works),
 n AS (SELECT id, {_part(f"{_part('author', I.AUTHOR_CHARS)} || ' - ' || {_part('title', I.TITLE_CHARS)}", I.NAME_CHARS)} AS base, e FROM w), p AS (SELECT *, id = min(id) OVER (PARTITION BY lower(base || e)) AS own FROM n)
 SELECT id, base || CASE WHEN own THEN '' ELSE ' [' || right(id, 8) || ']' END || e AS outputName, regexp_replace(substr(replace({_key('id')}, ' ', '-'), 1, 72), '-+$', '') || '-1' AS anchor FROM p""",

@@ -11,6 +11,7 @@ from bookloom.functions.text import word_count
 from bookloom.operators import retrieval, units
 from bookloom.plans import documents
 from bookloom.plans.portfolio import FILE_BYTES, FILE_TOKENS, file_packing
+from bookloom.plans.sql import contributor_steps
 from bookloom.session import materialize
 from bookloom.sources.tables import table
 
@@ -116,6 +117,9 @@ def book_parts(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (retrieval_units, retrieval_payload, retrieval_problems, surname_weights, file_names, file_report, merged_files, index_links, book_parts)}
 SQL = {
+    "surname_weights": f"""WITH u AS (SELECT DISTINCT corpus, workId, unitIndex, author, strlen(content) AS size FROM book_units), {contributor_steps('c', 'u')},
+n AS (SELECT corpus, size / greatest(len(nameKeys), 1) AS w, unnest(CASE WHEN len(nameKeys) = 0 THEN [''] ELSE nameKeys END) AS k FROM c3)
+SELECT corpus, CASE WHEN k = '' THEN 'books' ELSE string_split(k, ' ')[-1] END AS surname, round(sum(w), 4) AS weight FROM n GROUP BY ALL""",
     "retrieval_payload": documents.SQL["payload_hash"],
     "book_parts": "SELECT workId || '#' || unitIndex AS workId, 1 AS parts, strlen(content) AS bytes FROM (SELECT *, row_number() OVER (PARTITION BY workId, unitIndex ORDER BY loadedAt DESC NULLS LAST, corpus DESC NULLS LAST, title DESC NULLS LAST, content DESC) AS k FROM book_units WHERE workId IS NOT NULL AND content IS NOT NULL) WHERE k = 1 AND strlen(content) <= 5505024",
 }

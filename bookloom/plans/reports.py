@@ -90,7 +90,15 @@ def status(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
-QUERIES = {f.__name__: f for f in (audit_issues, audit_counts, decision_outcomes, book_lists, response_check, status)}
+def manifest_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Per corpus the works, units and bytes there are, and the work of most bytes."""
+    u = table(spark, folder, "book_units").where("workId IS NOT NULL").groupBy("workId", "unitIndex").agg(F.max(F.struct("loadedAt", F.coalesce("corpus", F.lit("null")).alias("corpus"), F.octet_length(F.coalesce("content", F.lit(""))).alias("b"))).alias("r"))
+    works = u.groupBy("r.corpus", "workId").agg(F.count(F.lit(1)).alias("n"), F.sum("r.b").alias("b"))
+    best = F.min(F.struct((-F.col("b")).alias("b"), "workId"))["workId"]
+    return works.groupBy("corpus").agg(F.count(F.lit(1)).alias("works"), F.sum("n").alias("units"), F.sum("b").alias("bytes"), best.alias("largest"))
+
+
+QUERIES = {f.__name__: f for f in (audit_issues, audit_counts, decision_outcomes, book_lists, response_check, manifest_totals, status)}
 
 _D = "d AS (SELECT id, corpus FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY runId DESC, decidedAt DESC, loadedAt DESC) AS k FROM curated_works) WHERE k = 1 AND corpus IN ('corpus_a', 'corpus_b'))"
 _N = lambda p: f"len(regexp_extract_all(content, '{p}'))"
@@ -113,5 +121,7 @@ SQL = {
     "audit_issues": f"WITH {_ISSUES} SELECT severity, code, corpus, subject FROM i",
     "audit_counts": f"WITH {_ISSUES} SELECT severity, code, count(*) AS issues FROM i GROUP BY 1, 2",
     "response_check": "SELECT id, count(*) > 1 AS repeated, count(DISTINCT CASE WHEN author IS NOT NULL AND title IS NOT NULL THEN author || chr(0) || title END) > 1 AS conflicting FROM classifier_responses WHERE id IS NOT NULL GROUP BY id",
+    "manifest_totals": """WITH u AS (SELECT workId, coalesce(corpus, 'null') AS corpus, strlen(coalesce(content, '')) AS b, row_number() OVER (PARTITION BY workId, unitIndex ORDER BY loadedAt DESC NULLS LAST, coalesce(corpus, 'null') DESC, strlen(coalesce(content, '')) DESC) AS k FROM book_units WHERE workId IS NOT NULL),
+w AS (SELECT corpus, workId, count(*) AS n, sum(b) AS b FROM u WHERE k = 1 GROUP BY 1, 2) SELECT corpus, count(*) AS works, sum(n) AS units, sum(b) AS bytes, arg_min(workId, row(-b, workId)) AS largest FROM w GROUP BY corpus""",
     "status": " UNION ALL ".join(f"SELECT '{t}' AS stage, count(*) AS \"rows\", count(DISTINCT {i}) AS ids, strftime(max({at}), '%Y-%m-%d %H:%M:%S') AS \"last\" FROM {t}" for t, i, at in (("inventory_files", "id", "scannedAt"), ("catalog_works", "id", "classifiedAt"), ("curated_works", "id", "decidedAt"), ("book_units", "workId", "loadedAt"), ("documents", "doc_id", "loadedAt"), ("classifier_responses", "id", "classified_at"))),
 }

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from bookloom.functions import keys as K
 from bookloom.operators.graph import components, star_edges
 from bookloom.operators.matching import assign_once
+from bookloom.plans.sql import contributor_steps
 from bookloom.session import materialize
 from bookloom.sources.tables import table
 
@@ -190,7 +191,9 @@ def _useful(field: str, own: str) -> str:
     return f"({t} <> '' AND NOT regexp_matches({t}, '(?i){K.EMPTY_METADATA}') AND NOT regexp_matches({t}, '(?i){own}'))"
 
 
+_KEYS = "list_filter(nameKeys, lambda x: x <> '')"
 SQL = {
+    "creator_keys": f"WITH {contributor_steps('c', 'catalog_works')} SELECT id, coalesce(array_to_string(list_filter({_KEYS}, lambda x, i: list_position({_KEYS}, x) = i), '; '), '') AS creators, coalesce({_KEYS}[1], 'unknown') AS lead FROM c3",
     "inventory_summary": f"WITH {_FILES} SELECT count(*) AS fileCount, sum(size) AS totalBytes, count(sha256) - count(DISTINCT sha256) AS exactDuplicateCount, " + ", ".join(f"count_if(lower(extension) = '{x}') AS files_{x[1:]}" for x in FORMATS) + " FROM f",
     "ascii_keys": f"SELECT DISTINCT id, titleKey, regexp_replace(substr(replace(titleKey, ' ', '-'), 1, 72), '-+$', '') AS slug FROM (SELECT id, {_key('title')} AS titleKey FROM classifier_responses)",
     "hint_keys": f"""WITH {_FILES}, t AS (SELECT id, workHintKey, {_key('hints.author')} AS a, {_squeezed(_TITLE)} AS ttl FROM f), e AS (SELECT id, workHintKey, a, {_FREE} AS t FROM t),
