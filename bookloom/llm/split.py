@@ -73,25 +73,30 @@ def bisect(text: str, limit: int) -> list[tuple[int, int]]:
     return done
 
 
-def overlap_start(text: str, start: int, cut: int, tokens: int, room: int, encode) -> int:
-    """Where the overlap before ``cut`` begins: at most ``tokens`` tokens and ``room`` bytes, not before ``start``."""
+def overlap_start(text: str, start: int, cut: int, tokens: int, room: int, encode) -> tuple[int, int]:
+    """(where the overlap before ``cut`` begins, its tokens): at most ``tokens`` tokens and ``room`` bytes, not before ``start``."""
     if tokens <= 0 or room <= 0 or cut <= start:
-        return cut
+        return cut, 0
     tail = text[max(start, cut - room) : cut]
     raw = tail.encode("utf-8", "surrogatepass")
     ids = encode.encode_ordinary(raw.decode("utf-8", "replace"))[-tokens:]
     size = min(sum(map(len, encode.decode_tokens_bytes(ids))), len(raw), room)
     kept = raw[len(raw) - size :].decode("utf-8", "ignore") if size else ""
-    return cut - len(kept)
+    return cut - len(kept), len(ids)
 
 
-def cut_text(text: str, limit: int, overlap: int, encode) -> list[tuple[int, int, int]]:
-    """(start with overlap, start, end) of each piece; every piece with its overlap is within ``limit`` bytes."""
+def cut_text(text: str, limit: int, overlap: int, encode) -> list[tuple[int, int, int, int]]:
+    """(start with overlap, start, end, tokens of overlap) of each piece; every piece with its overlap is within ``limit`` bytes.
+
+    An overlap has ``BYTES_PER_TOKEN`` bytes a token and half the limit at most,
+    and is the piece before at most, so it can have fewer tokens than asked for.
+    """
     if len(text.encode("utf-8", "surrogatepass")) <= limit:
-        return [(0, 0, len(text))]
+        return [(0, 0, len(text), 0)]
     room = min(overlap * BYTES_PER_TOKEN, limit // 2)
     spans = bisect(text, limit - room)
-    return [(s if i == 0 else overlap_start(text, spans[i - 1][0], s, overlap, room, encode), s, e) for i, (s, e) in enumerate(spans)]
+    begins = [(0, 0)] + [overlap_start(text, spans[i - 1][0], s, overlap, room, encode) for i, (s, _) in enumerate(spans[1:], 1)]
+    return [(a, s, e, n) for (a, n), (s, e) in zip(begins, spans)]
 
 
 def current_units(units: DataFrame) -> DataFrame:
@@ -102,7 +107,7 @@ def current_units(units: DataFrame) -> DataFrame:
 
 
 def cut_units(units: DataFrame, overlaps: DataFrame, limit: int = LIMIT_BYTES, text: bool = True) -> DataFrame:
-    """(workId, unitIndex, piece, pieces, overlapChars, bytes, unitBytes, blockBytes[, content]) of every unit.
+    """(workId, unitIndex, piece, pieces, overlapChars, overlapTokens, bytes, unitBytes, blockBytes[, content]) of every unit.
 
     ``overlaps`` holds (corpus, overlap_tokens), one row per corpus, a small
     configuration table.  Null content is one empty piece.  A unit within the
@@ -118,18 +123,18 @@ def cut_units(units: DataFrame, overlaps: DataFrame, limit: int = LIMIT_BYTES, t
             for work, unit, content, overlap in zip(pdf["workId"], pdf["unitIndex"], pdf["content"], pdf["overlap"]):
                 size, block = len(content.encode("utf-8", "surrogatepass")), largest_block(content)
                 pieces = cut_text(content, limit, int(overlap), encode)
-                for k, (a, s, e) in enumerate(pieces, 1):
+                for k, (a, s, e, tokens) in enumerate(pieces, 1):
                     body = content[a:e]
-                    out.append((work, unit, k, len(pieces), s - a, len(body.encode("utf-8", "surrogatepass")), size, block, *([body] if text else [])))
+                    out.append((work, unit, k, len(pieces), s - a, tokens, len(body.encode("utf-8", "surrogatepass")), size, block, *([body] if text else [])))
             yield pd.DataFrame(out, columns=names)
 
-    schema = "workId string, unitIndex bigint, piece int, pieces int, overlapChars int, bytes bigint, unitBytes bigint, blockBytes bigint" + ", content string" * text
+    schema = "workId string, unitIndex bigint, piece int, pieces int, overlapChars int, overlapTokens int, bytes bigint, unitBytes bigint, blockBytes bigint" + ", content string" * text
     names = [c.split()[0] for c in schema.split(", ")]
     return rows.mapInPandas(cut, schema)
 
 
 def split_units(units: DataFrame, limits: DataFrame, profile: str = "large", limit: int = LIMIT_BYTES) -> DataFrame:
-    """Pieces within ``limit`` bytes, numbered anew per work: workId, unitIndex, unitCount, fromUnit, piece, overlapChars, bytes, content.
+    """Pieces within ``limit`` bytes, numbered anew per work: workId, unitIndex, unitCount, fromUnit, piece, overlapChars, overlapTokens, bytes, content.
 
     The overlap is the ``overlap_tokens`` of the profile in ``limits``.  Pieces
     without their overlaps, in order, give back each unit's content exactly.
@@ -138,4 +143,4 @@ def split_units(units: DataFrame, limits: DataFrame, profile: str = "large", lim
     pieces = materialize(cut_units(current_units(units), limits.where(F.lower("profile") == profile), limit), "pieces")
     keys = rank_in_groups(pieces.select("workId", "unitIndex", "piece"), ["workId"], [F.col("unitIndex"), F.col("piece")], out="newIndex", total="unitCount")
     out = pieces.join(keys, ["workId", "unitIndex", "piece"])
-    return out.select("workId", F.col("newIndex").cast("bigint").alias("unitIndex"), F.col("unitCount").cast("bigint").alias("unitCount"), F.col("unitIndex").alias("fromUnit"), "piece", "overlapChars", "bytes", "content")
+    return out.select("workId", F.col("newIndex").cast("bigint").alias("unitIndex"), F.col("unitCount").cast("bigint").alias("unitCount"), F.col("unitIndex").alias("fromUnit"), "piece", "overlapChars", "overlapTokens", "bytes", "content")
