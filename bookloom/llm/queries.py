@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookloom.llm import caps, mix, names, pack, quality, scans, spans, split, survivor
+from bookloom.llm import caps, mix, names, pack, paragraphs, quality, scans, spans, split, survivor
 from bookloom.session import materialize
 from bookloom.sources.tables import table
 
@@ -107,7 +107,12 @@ def p9_shared_part(spark: SparkSession, folder: str) -> DataFrame:
     return spans.SharedSpans(docs, hot=spans.FEW).shares(docs)
 
 
+def p9_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return paragraphs.Paragraphs(docs).shares(docs)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of this subpackage by its name."""
-    found = [p1_found, p1_classes, p2_found, p2_repaired, p3_found, p3_golden_records, p4_found, p4_stratified_cap, p5_found, p5_pieces, p6_found, p6_quality, p6_audit, p7_containers, p7_certificate, p8_mix, p8_shares, p9_found, p9_shared_part]
+    found = [p1_found, p1_classes, p2_found, p2_repaired, p3_found, p3_golden_records, p4_found, p4_stratified_cap, p5_found, p5_pieces, p6_found, p6_quality, p6_audit, p7_containers, p7_certificate, p8_mix, p8_shares, p9_found, p9_shared_part, p9_paragraphs]
     return {f.__name__: f for f in found}

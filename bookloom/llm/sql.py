@@ -57,6 +57,17 @@ SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM shared a JOIN sh
 """
 
 
+P9_SHARED_PART = """
+WITH RECURSIVE runs AS (SELECT doc_id, i, hash(substr(text, CAST(i AS BIGINT), 200)) AS h FROM (SELECT doc_id, text, unnest(range(1, length(text) - 198)) AS i FROM documents WHERE length(text) >= 200)),
+several AS (SELECT h FROM runs GROUP BY h HAVING count(DISTINCT doc_id) > 1), own AS (SELECT doc_id, h, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS nx FROM runs JOIN several USING (h)),
+covered AS (SELECT doc_id, sum(least(200, coalesce(nx - i, 200))) AS chars, count_if(nx IS NULL OR nx > i + 200) AS passages FROM own GROUP BY doc_id),
+keyed AS (SELECT DISTINCT doc_id, h FROM own), stars AS (SELECT DISTINCT doc_id AS x, min(doc_id) OVER (PARTITION BY h) AS y FROM keyed), ties AS (SELECT x, y FROM stars UNION SELECT y, x FROM stars),
+reach AS (SELECT x, y FROM ties UNION SELECT r.x, t.y FROM reach r JOIN ties t ON r.y = t.x), tied AS (SELECT x AS doc_id, min(y) AS component FROM reach GROUP BY x)
+SELECT d.doc_id, coalesce(length(text), 0) AS n_chars, coalesce(passages, 0) AS passages, coalesce(chars, 0) AS shared_chars, CASE WHEN length(text) > 0 THEN coalesce(chars, 0) / length(text) ELSE 0 END AS share, component, component IS NULL OR component = d.doc_id AS keep
+FROM documents d LEFT JOIN covered USING (doc_id) LEFT JOIN tied USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL by query name."""
-    return {"p3_found": P3_FOUND, "p4_found": P4_FOUND, "p5_found": P5_FOUND, "p9_found": P9_FOUND}
+    return {"p3_found": P3_FOUND, "p4_found": P4_FOUND, "p5_found": P5_FOUND, "p9_found": P9_FOUND, "p9_shared_part": P9_SHARED_PART}

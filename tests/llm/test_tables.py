@@ -146,9 +146,9 @@ def test_merit_keeps_the_best_of_each_contributor_and_shares_are_met(spark):
 @pytest.mark.parametrize("text", ["", "word " * 3000, "x" * 20000, "ž" * 9000, "A line.\n" * 2000, "p one.\n\n" * 1500, "\n" * 7000, "😀" * 4000])
 def test_pieces_cover_and_fit(text):
     pieces = split.cut_text(text, 6000, 64, encoder())
-    assert "".join(text[s:e] for _, s, e in pieces) == text
-    assert all(len(text[a:e].encode()) <= 6000 and a <= s for a, s, e in pieces)
-    assert len(pieces) == 1 or all(a < s for a, s, _ in pieces[1:])
+    assert "".join(text[s:e] for _, s, e, _ in pieces) == text
+    assert all(len(text[a:e].encode()) <= 6000 and a <= s for a, s, e, _ in pieces)
+    assert len(pieces) == 1 or all(a < s for a, s, _, n in pieces[1:]) and all(0 < n <= 64 for *_, n in pieces[1:])
 
 
 def test_cuts_fall_at_the_strongest_pause():

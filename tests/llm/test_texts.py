@@ -1,12 +1,14 @@
 """Names, scans, quality, packing, mixing and spans on small fixtures."""
 
+import itertools
 import random
+import re
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from bookloom.llm import mix, names, pack, quality, scans, spans
+from bookloom.llm import mix, names, pack, paragraphs, quality, scans, spans
 
 STAMP = ", classified_at timestamp, bag string, token string"
 
@@ -211,3 +213,37 @@ def test_spans_match_brute_force(spark, hot):
                 covered[k : k + 200] = True
         assert shares[i]["shared_chars"] == covered.sum()
     assert spans.SharedSpans(docs.limit(0)).pairs().count() == 0
+
+
+def test_shared_paragraphs_match_brute_force(spark):
+    random.seed(12)
+    vocabulary = [f"word{i}" for i in range(300)]
+    bases = [[random.choice(vocabulary) for _ in range(random.randrange(20, 60))] for _ in range(12)]
+
+    def variant(words):
+        words = list(words)
+        for _ in range(random.choice([0, 0, 1, 1, 3])):
+            words[random.randrange(len(words))] = random.choice(vocabulary)
+        return " ".join(words)
+
+    texts = {i: "\n\n".join([variant(random.choice(bases)) for _ in range(3)] + ["Own " + " ".join(random.choices(vocabulary, k=30)), "Short one."]) for i in range(40)}
+    texts |= {90: None, 91: "", 92: "\n \n", 93: "Short, one!\n\t\nSHORT ONE"}
+    docs = spark.createDataFrame([(i, t, "x") for i, t in texts.items()] + [(None, "Short one", "x")], "doc_id bigint, text string, key string")
+    made = paragraphs.Paragraphs(docs)
+    keys = {}
+    for i, t in texts.items():
+        for p in re.split(r"\n[ \t\r]*\n[ \t\r\n]*", t or ""):
+            if words := tuple(re.findall(r"\w+", p.lower())):
+                keys.setdefault(words, []).append(i)
+    sets = {w: {w[k : k + 5] for k in range(max(1, len(w) - 4))} for w in keys}
+    want = sum(len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) for a, b in itertools.combinations(sets, 2))
+    assert want >= 20 and made.links.count() == want
+    shares = {r["doc_id"]: r for r in made.shares(docs).collect()}
+    assert set(shares) == set(texts) and shares[93]["removed"] == 2 and shares[93]["shared"] == 2 and shares[90]["paragraphs"] == 0
+    assert sum(r["paragraphs"] - r["removed"] for r in shares.values()) == len(keys) - (made.classes.count() - made.classes.select("class").distinct().count())
+    assert paragraphs.Paragraphs(docs.limit(0)).links.count() == 0
+
+
+def test_bands_are_tuned():
+    b, r = paragraphs.tuned_bands()
+    assert 1 - (1 - 0.8**r) ** b >= paragraphs.RECALL > 1 - (1 - 0.8 ** (r + 1)) ** (paragraphs.HASHES // (r + 1))
