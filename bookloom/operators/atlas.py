@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bookloom.operators.graph import components, star_edges
+
 #: Areas a curator must name at least.
 LEAST_AREAS = 3
 
@@ -74,6 +76,60 @@ def repaired_atlas(atlas: Atlas, works: DataFrame, contributors: DataFrame) -> t
     return Atlas(must, policies, duplicates, containment, atlas.areas), reduce(DataFrame.unionByName, warnings)
 
 
+#: Least length of a key that says something.
+LEAST_KEY = 3
+
+
+def repaired_decisions(decisions: DataFrame, rosters: DataFrame, areas: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(decisions that refer to nothing unknown, warnings (code, subject, value)).
+
+    ``decisions``: id, identity_group_key, edition_group_key, canonical_work_id,
+    contains_work_ids, contained_by_work_ids, topic_keys; one row per id.
+    ``rosters`` (id, member) lists the works that a decision may name; ``areas``
+    (key) the known topics.  Keys shorter than ``LEAST_KEY`` become the work's
+    own, an unknown canonical work becomes the work itself, and unknown topics
+    and works, and the work itself, are left out of lists.  Lists come out
+    sorted and without repeats; null lists are empty.
+    """
+    warnings = []
+    fixed = decisions
+    for column, prefix, code in (("identity_group_key", "work-", "empty_identity_group_key"), ("edition_group_key", "edition-", "empty_edition_group_key")):
+        short = F.length(F.trim(F.coalesce(column, F.lit("")))) < LEAST_KEY
+        warnings.append(_warning(decisions.where(short), code, F.col("id"), F.col(column)))
+        fixed = fixed.withColumn(column, F.when(short, F.concat(F.lit(prefix), "id")).otherwise(F.col(column)))
+    known = rosters.select("id", F.col("member").alias("value")).distinct()
+    named = decisions.select("id", F.col("canonical_work_id").alias("value"))
+    warnings.append(_warning(named.join(known, ["id", "value"], "left_anti"), "unknown_canonical_work", F.col("id"), F.col("value")))
+    good = named.join(known, ["id", "value"], "left_semi").withColumnRenamed("value", "_canonical")
+    fixed = fixed.join(good, "id", "left").withColumn("canonical_work_id", F.coalesce("_canonical", "id")).drop("_canonical")
+    lists = {"contains_work_ids": "invalid_contains_relation", "contained_by_work_ids": "invalid_contained_by_relation", "topic_keys": "unknown_topic_key"}
+    for column, code in lists.items():
+        each = decisions.select("id", F.explode(F.array_distinct(column)).alias("value"))
+        own = each.join(areas.select(F.col("key").alias("value")).distinct(), "value", "left_semi") if column == "topic_keys" else each.where("id != value").join(known, ["id", "value"], "left_semi")
+        own = own.select("id", "value")
+        warnings.append(_warning(each.join(own, ["id", "value"], "left_anti"), code, F.col("id"), F.col("value")))
+        fixed = fixed.join(own.groupBy("id").agg(F.array_sort(F.collect_set("value")).alias("_list")), "id", "left").withColumn(column, F.coalesce("_list", F.array().cast("array<string>"))).drop("_list")
+    return fixed.select(decisions.columns), reduce(DataFrame.unionByName, warnings)
+
+
+def identity_components(works: DataFrame, duplicates: DataFrame | None = None) -> DataFrame:
+    """(id, component): of works (id, creator, canonicalWorkId, key) those that are one work, by the smallest id.
+
+    Tied are two works of one creator of which one names the other as canonical
+    or that have one ``key`` (null ties nothing), and all works of a group of
+    ``duplicates`` (work_ids), whoever made them; works that are not there tie
+    nothing.
+    """
+    other = works.select(F.col("id").alias("canonicalWorkId"), F.col("creator").alias("theirs"))
+    edges = works.join(other, "canonicalWorkId").where("creator = theirs AND id != canonicalWorkId").select(F.col("id").alias("a"), F.col("canonicalWorkId").alias("b"))
+    edges = edges.unionByName(star_edges(works.where("key IS NOT NULL").select(F.col("id").alias("node"), F.concat_ws("|", "creator", "key").alias("key"))))
+    if duplicates is not None:
+        groups = duplicates.select(F.array_min("work_ids").alias("key"), F.explode("work_ids").alias("node"))
+        edges = edges.unionByName(star_edges(groups.join(works.select(F.col("id").alias("node")), "node", "left_semi")))
+    tied = components(edges).select(F.col("node").alias("id"), "component")
+    return works.select("id").join(tied, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+
+
 def required_reasons(atlas: Atlas, representatives: DataFrame) -> DataFrame:
     """(id, reason): representatives that must be included, with the different reasons of their members in order, parted by a space.
 

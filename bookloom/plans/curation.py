@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 from bookloom.functions import keys as K
 from bookloom.operators import closure
-from bookloom.operators.atlas import fingerprints
+from bookloom.operators.atlas import LEAST_KEY, fingerprints, identity_components
 from bookloom.operators.batches import next_fit
 from bookloom.operators.frontier import conversion_frontier as plan_frontier
-from bookloom.operators.graph import components, star_edges
 from bookloom.operators.ranking import rank_in_groups
 from bookloom.plans.portfolio import TOKEN_BYTES, decisions, selection_rows
 from bookloom.plans.sql import contributor_steps, squeezed_sql
@@ -20,8 +19,8 @@ from bookloom.sources.tables import table
 
 # Roles in a portfolio, from the least.
 ROLES = ["redundant", "specialized", "supporting", "strong", "core", "essential"]
-#: Works of a corpus that are converted, works of a batch, least length of a key.
-CANDIDATES, BATCH, KEY = 360, 10, 3
+#: Works of a corpus that are converted, works of a batch.
+CANDIDATES, BATCH = 360, 10
 #: Characters of a summary that is shown.
 SUMMARY = 240
 
@@ -37,12 +36,8 @@ def _catalog(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _identity(works: DataFrame) -> DataFrame:
-    """(id, component) of all works; tied are works of one creator of which one names the other as canonical, or with one canonical key."""
-    other = works.select(F.col("id").alias("canonicalWorkId"), F.col("creator").alias("theirs"))
-    named = works.join(other, "canonicalWorkId").where("creator = theirs AND id != canonicalWorkId").select(F.col("id").alias("a"), F.col("canonicalWorkId").alias("b"))
-    keyed = works.where(F.length(K.squeezed(F.col("canonicalKey"))) >= KEY).select(F.col("id").alias("node"), F.concat_ws("|", "creator", F.lower(F.trim("canonicalKey"))).alias("key"))
-    tied = components(named.unionByName(star_edges(keyed))).select(F.col("node").alias("id"), "component")
-    return works.select("id").join(tied, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+    key = F.when(F.length(K.squeezed(F.col("canonicalKey"))) >= LEAST_KEY, F.lower(F.trim("canonicalKey")))
+    return identity_components(works.withColumn("key", key))
 
 
 def work_identity(spark: SparkSession, folder: str) -> DataFrame:

@@ -9,6 +9,7 @@ from bookloom.functions import scoring as S
 from bookloom.operators import buckets, closure
 from bookloom.operators.graph import components
 from bookloom.operators.select import select_portfolio
+from bookloom.operators.skew import split_join
 from bookloom.session import materialize
 from bookloom.sources.tables import table
 
@@ -99,8 +100,9 @@ def overlap_pairs(spark: SparkSession, folder: str) -> DataFrame:
     held = closure.closure(closure.relations(d)).select(F.col("whole").alias("id"), F.col("part").alias("content"))
     own = held.select("id").unionByName(held.select(F.col("content").alias("id"))).distinct().withColumn("content", F.col("id"))
     all_held = held.unionByName(own)
+    all_held = materialize(all_held, "held")
     x, y = (all_held.select("content", F.col("id").alias(f"id_{s}")) for s in "ab")
-    return x.join(y, "content").where("id_a < id_b").groupBy("id_a", "id_b").agg(F.count(F.lit(1)).alias("shared"))
+    return split_join(x, y, ["content"]).where("id_a < id_b").groupBy("id_a", "id_b").agg(F.count(F.lit(1)).alias("shared"))
 
 
 def reference_repair(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,6 +8,8 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,7 +52,8 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
     The written table cuts the lineage, survives the loss of executors, and is
-    deleted by :func:`release`, else when the driver's JVM ends.
+    deleted by :func:`release`, at the end of a block of :func:`freed`, else when
+    the driver's JVM ends.
     """
     spark = df.sparkSession
     path = os.path.join(shared_folder(spark), f"bookloom-{name}-{uuid.uuid4().hex}")
@@ -59,9 +62,24 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(jvm_path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written = path
+    if _open:
+        _open[-1].append(out)
     return out
 
 
+_open: list[list[DataFrame]] = []
+
+
+@contextmanager
+def freed() -> Iterator[None]:
+    """Delete the tables written inside once the block ends; results must be used up or saved by then."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        release(*_open.pop())
+
+
 def release(*tables: DataFrame) -> None:
     """Delete tables written by :func:`materialize` that nothing reads any more; others are left alone."""
     for df in tables:

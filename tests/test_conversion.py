@@ -131,6 +131,18 @@ def test_atlas_keeps_what_refers_to_works(spark):
     assert {r["id"]: r["state"] for r in A.additions(old, now).collect()} == {"a": "same", "b": "changed", "c": "added", "d": "gone"}
 
 
+def test_decisions_are_repaired(spark):
+    rows = [("a", "ab", "edition one", "zz", ["b", "a", "zz", "b"], None, ["x", "no"]), ("b", "key", None, "a", [], ["a"], None)]
+    decisions = spark.createDataFrame(rows, "id string, identity_group_key string, edition_group_key string, canonical_work_id string, contains_work_ids array<string>, contained_by_work_ids array<string>, topic_keys array<string>")
+    rosters = spark.createDataFrame([(i, m) for i in "ab" for m in "ab"], "id string, member string")
+    fixed, warnings = A.repaired_decisions(decisions, rosters, spark.createDataFrame([("x",)], "key string"))
+    assert {r["id"]: tuple(r)[1:] for r in fixed.collect()} == {"a": ("work-a", "edition one", "a", ["b"], [], ["x"]), "b": ("key", "edition-b", "a", [], ["a"], [])}
+    assert sorted(((r["code"], r["subject"], r["value"]) for r in warnings.collect()), key=str) == sorted([("empty_identity_group_key", "a", "ab"), ("empty_edition_group_key", "b", None), ("unknown_canonical_work", "a", "zz"), ("invalid_contains_relation", "a", "a"), ("invalid_contains_relation", "a", "zz"), ("unknown_topic_key", "a", "no")], key=str)
+    works = spark.createDataFrame([("a", "ann", "b", None), ("b", "ann", None, "k"), ("c", "ann", None, "k"), ("d", "bob", "a", "k"), ("e", "eve", None, None)], "id string, creator string, canonicalWorkId string, key string")
+    groups = spark.createDataFrame([(["d", "e", "gone"],)], "work_ids array<string>")
+    assert {r["id"]: r["component"] for r in A.identity_components(works, groups).collect()} == {"a": "a", "b": "a", "c": "a", "d": "d", "e": "d"}
+
+
 @pytest.mark.parametrize("text", ["", "word " * 900, "x" * 5000, "ž" * 3000, "p one two three.\n\n" * 300, "short\n\n" + "y" * 2500 + "\n\nend"])
 def test_books_are_split_within_limits(text):
     parts = units.split_book(text, 1000, 200)

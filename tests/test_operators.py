@@ -124,13 +124,17 @@ def test_written_tables_are_released_and_need_a_shared_folder(spark):
     import os
     from types import SimpleNamespace
 
-    from bookloom.session import materialize, release, shared_folder
+    from bookloom.session import freed, materialize, release, shared_folder
 
     df = materialize(spark.range(3), "gone")
     path = df._written
     assert os.path.isdir(path.removeprefix("file://"))
     release(df, spark.range(1))
     assert not os.path.isdir(path.removeprefix("file://"))
+    with freed():
+        path = materialize(spark.range(3), "gone")._written
+        assert os.path.isdir(path.removeprefix("file://"))
+    assert not os.path.isdir(path.removeprefix("file://"))
     unset = SimpleNamespace(get=lambda *_: None)
     cluster = SimpleNamespace(conf=unset, sparkContext=SimpleNamespace(master="spark://head:7077", getConf=lambda: unset))
     with pytest.raises(RuntimeError, match="shared|share"):
@@ -147,3 +151,15 @@ def test_entry_outlives_a_missing_module(monkeypatch):
     monkeypatch.setitem(sys.modules, "xxhash", None)
     names = set(entry.queries())
     assert "usable_documents" in names and not any(n.startswith("p9") for n in names)
+
+
+@pytest.mark.parametrize("block", [3, 1000])
+def test_split_join_is_an_inner_join(spark, block):
+    from bookloom.operators.skew import split_join
+
+    random.seed(block)
+    rows = [[(random.choice(["a", "a", "a", "b", "c", None]), i) for i in range(40)] for _ in range(2)]
+    x, y = (spark.createDataFrame(r, f"k string, {v} int") for r, v in zip(rows, "xy"))
+    got = sorted(tuple(r) for r in split_join(x, y, ["k"], block).select("k", "x", "y").collect())
+    assert got == sorted((k, i, j) for k, i in rows[0] for m, j in rows[1] if k == m and k is not None)
+    assert split_join(x.limit(0), y, ["k"], block).count() == 0
