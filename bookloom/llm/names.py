@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bookloom.operators.graph import components
+from bookloom.operators.skew import split_join
 from bookloom.session import materialize
 
 #: Least soft weighted similarity of two bylines.
@@ -29,8 +30,6 @@ THRESHOLD = 0.68
 NEAR = 0.5
 #: By the edits that two tokens may differ by: least and greatest length of a token, and the length of its q-grams.
 CLASSES = {1: (4, 8, 3), 2: (8, 10**9, 4)}
-#: Parts into which the rows of one key are split on the larger side of a join.
-SALTS = 8
 #: Least similarity of two titles, character by character.
 TITLE = 0.86
 
@@ -333,12 +332,6 @@ def _spread(df: DataFrame) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _salted(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """An inner join that spreads the rows of one key over ``SALTS`` tasks: ``right`` is split, ``left`` repeated."""
-    split = right.withColumn("_salt", F.pmod(F.xxhash64(*right.columns), F.lit(SALTS)).cast("int"))
-    return left.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).join(split, [*on, "_salt"]).drop("_salt")
-
-
 def _grams(token: str, q: int) -> list[tuple[str, int]]:
     """(gram, place) of a token; grams that occur again are numbered, so that a token of n letters has n + q - 1."""
     padded = "^" * (q - 1) + token + "$" * (q - 1)
@@ -411,7 +404,7 @@ def byline_links(bags: DataFrame) -> DataFrame:
     links = similar_tokens(heads, weights)
     # a token that many bags hold is light and seldom looked up; the bags that hold it are split
     looked = materialize(heads.withColumnRenamed("token", "head").join(links, "head").select("bag", "token").distinct(), "looked")
-    pairs = _salted(looked, each.withColumnRenamed("bag", "other"), ["token"]).where("bag != other")
+    pairs = split_join(looked, each.withColumnRenamed("bag", "other"), ["token"]).where("bag != other")
     pairs = pairs.select(F.least("bag", "other").alias("a"), F.greatest("bag", "other").alias("b")).distinct()
     sides = [full.select(*[F.col(c).alias(f"{s}_{c}" if c != "bag" else s) for c in full.columns]) for s in "ab"]
     rows = pairs.join(sides[0], "a").join(sides[1], "b").where("a_kind = b_kind AND a_suffix = b_suffix")
@@ -447,9 +440,9 @@ class Variants:
         #: (bag, title): the different titles of each byline.
         titles = rows.select("bag", F.struct("main", "sub", "part", "cut").alias("title")).distinct()
         # titles that mean one work have a word in common, so titles of two bylines meet by words
-        words = titles.select("bag", "title", F.explode(title_words(F.col("title.main"))).alias("word"))
+        words = materialize(titles.select("bag", "title", F.explode(title_words(F.col("title.main"))).alias("word")), "words")
         near = near.join(words.select(F.col("bag").alias("a"), F.col("title").alias("at"), "word"), "a")
-        near = _salted(near, words.select(F.col("bag").alias("b"), F.col("title").alias("bt"), "word"), ["b", "word"]).drop("word").distinct()
+        near = split_join(near, words.select(F.col("bag").alias("b"), F.col("title").alias("bt"), "word"), ["b", "word"]).drop("word").distinct()
 
         def agree(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
@@ -472,8 +465,9 @@ class Variants:
         several = ways.where("ways > 1").select("bag")
         theirs = words.join(strong, "bag").select("person", F.col("title").alias("theirs"), "word").distinct()
         theirs = lean.join(several.select(F.col("bag").alias("weak")), "weak").join(theirs, "person").select(F.col("weak").alias("bag"), "person", "theirs", "word")
+        theirs = materialize(theirs, "theirs")
         own = words.join(several, "bag").select("bag", F.col("title").alias("own"), "word")
-        unsure = _salted(own, theirs, ["bag", "word"]).select("bag", "person", "own", "theirs").distinct()
+        unsure = split_join(own, theirs, ["bag", "word"]).select("bag", "person", "own", "theirs").distinct()
 
         def fits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
@@ -500,7 +494,7 @@ class Variants:
         first = words.join(df, "token").withColumn("k", F.row_number().over(order)).where(F.col("cut") | (F.col("k") <= (1 - TITLE) * F.col("size") + 1))
         alike = similar_tokens(first.select("token"), words.select("token"))
         looked = first.select("person", F.col("token").alias("head"), F.col("work").alias("x")).join(alike, "head").select("person", "token", "x").distinct()
-        pairs = _salted(looked, words.select("person", "token", F.col("work").alias("y")), ["person", "token"]).where("x != y")
+        pairs = split_join(looked, words.select("person", "token", F.col("work").alias("y")), ["person", "token"]).where("x != y")
         pairs = pairs.select("person", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
         side = lambda s: titles.select("person", F.col("work").alias(s), F.struct("main", "sub", "part", "cut").alias(f"{s}t"))
         rows2 = pairs.join(side("x"), ["person", "x"]).join(side("y"), ["person", "y"])
