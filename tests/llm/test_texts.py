@@ -247,3 +247,24 @@ def test_shared_paragraphs_match_brute_force(spark):
 def test_bands_are_tuned():
     b, r = paragraphs.tuned_bands()
     assert 1 - (1 - 0.8**r) ** b >= paragraphs.RECALL > 1 - (1 - 0.8 ** (r + 1)) ** (paragraphs.HASHES // (r + 1))
+
+
+def test_token_pairs_are_complete(spark):
+    random.seed(21)
+    base = ["".join(random.choice("abcdeiklmnor") for _ in range(random.randrange(2, 13))) for _ in range(120)] + ["aaaaaaaa", "abababababab", "aaaa", "eli."]
+
+    def edited(w):
+        i = random.randrange(len(w))
+        return random.choice([w[:i] + w[i + 1 :], w[:i] + random.choice("abc") + w[i:], w[:i] + random.choice("abc") + w[i + 1 :], w[:i] + w[i : i + 2][::-1] + w[i + 2 :]])
+
+    tokens = sorted({t for w in base for t in (w, edited(w), edited(edited(w) or "x") or "y")} - {""})
+    df = spark.createDataFrame([(t,) for t in tokens], "token string")
+    got = {tuple(r) for r in names.similar_tokens(df, df.withColumn("weight", F.lit(1.0))).collect()}
+    want = {(a, b) for a in tokens for b in tokens if names.osa(a, b, names.allowed(a, b)) <= names.allowed(a, b)}
+    assert got == want and len(want) > len(tokens) + 100
+
+
+def test_titles_meet_in_spite_of_typing_errors(spark):
+    rows = [("1", "Robert Nudrilaban", "Seasides"), ("2", "Robert Nudrilaban", "Sea sides"), ("3", "Robert Nudrilaban", "Seaisdes"), ("4", "Robert Nudrilaban", "Harbours of the Ancient Council"), ("5", "Robert Nudrilaban", "Harbors of the Anicent Concil"), ("6", "Robert Nudrilaban", "Harbours of the…")]
+    works = {(r["id_a"], r["id_b"]) for r in names.Variants(_people(spark, rows)).found().where("kind = 'work'").collect()}
+    assert works == {("1", "2"), ("1", "3"), ("2", "3"), ("4", "5"), ("4", "6"), ("5", "6")}
