@@ -487,13 +487,14 @@ class Variants:
         """(id, person, work): the works of each person, titles that mean the same work under one label."""
         rows = self.rows.join(self.persons, "id").where("main != ''")
         titles = materialize(rows.select("person", "work", "main", "sub", "part", "cut").distinct(), "titles")
-        words = titles.select("person", "work", "cut", F.length("main").alias("size"), F.explode(title_words(F.col("main"))).alias("token"))
+        words = materialize(titles.select("person", "work", "cut", F.length("main").alias("size"), F.explode(title_words(F.col("main"))).alias("token")), "words")
         df = words.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
         order = Window.partitionBy("person", "work").orderBy("df", "token")
         # of a title's n characters at most (1 - TITLE) n differ; so many of its rarest words and one more cannot all be spoilt
         first = words.join(df, "token").withColumn("k", F.row_number().over(order)).where(F.col("cut") | (F.col("k") <= (1 - TITLE) * F.col("size") + 1))
         alike = similar_tokens(first.select("token"), words.select("token"))
         looked = first.select("person", F.col("token").alias("head"), F.col("work").alias("x")).join(alike, "head").select("person", "token", "x").distinct()
+        looked = materialize(looked, "looked")
         pairs = split_join(looked, words.select("person", "token", F.col("work").alias("y")), ["person", "token"]).where("x != y")
         pairs = pairs.select("person", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
         side = lambda s: titles.select("person", F.col("work").alias(s), F.struct("main", "sub", "part", "cut").alias(f"{s}t"))
