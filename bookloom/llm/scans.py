@@ -20,10 +20,9 @@ import difflib
 import re
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +42,8 @@ BEFORE = 20
 LETTER = 0.5
 #: Tokens whose pairs are counted in one array.
 CHUNK = 1 << 20
+#: Characters of results that a Python task keeps before it hands them on.
+LOT = 1 << 20
 
 # Signs that scanners put for a letter.
 SIGNS = {"0": "o", "1": "l", "!": "i", "|": "l", "9": "g", "+": "t", "8": "b", "6": "e", "3": "a", "5": "s", "$": "s", "ſ": "s"}
@@ -182,7 +183,7 @@ def line_kinds(lines: list[str], author: str | None, title: str | None) -> list[
         elif beside or (len(s) <= 90 and not re.search(r"[.!?;,:]$", s) and not s[0].islower()):
             seen[plain(body)] = seen.get(plain(body), 0) + 1
     for i, s in enumerate(stripped):  # headers that say something else, but the same on several pages
-        if kinds[i] == "text" and i not in numbers and seen.get(plain(s), 0) >= 2 and len(plain(s)) >= 6 and not s[0].islower() and (s.isupper() or s.istitle() or s.count("  ")):
+        if kinds[i] == "text" and i not in numbers and not s[0].islower() and (s.isupper() or s.istitle() or s.count("  ")) and seen.get(plain(s), 0) >= 2 and len(plain(s)) >= 6:
             kinds[i] = "running_header"
     full = [i for i, s in enumerate(stripped) if s]
     place = {i: k for k, i in enumerate(full)}
@@ -216,6 +217,9 @@ def words_of(text: str) -> list[str]:
     """The words of a line without the signs around them, lower-cased; those without a letter are dropped."""
     out = []
     for raw in _NOTE.sub(" ", text).split() if "[" in text else text.split():
+        if raw.isalpha():
+            out.append(raw.lower())
+            continue
         w = raw.strip(_EDGES).rstrip(HYPHENS).lower()
         if _WORDLIKE.search(w):
             out.append(w)
@@ -271,33 +275,62 @@ def unit_lines(content: str, author: str | None, title: str | None) -> list[tupl
 LINES = "workId string, unitIndex bigint, lineNo int, kind string, tokens array<string>, splits boolean, headLength int, tail string, next string, before array<string>, after array<string>"
 
 
+_ARROW = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "array<string>": pa.list_(pa.string())}
+
+
+def in_lots(sized: Iterable[tuple[int, list[tuple]]], schema: str) -> Iterator[pa.RecordBatch]:
+    """The rows of (characters, rows), handed on as soon as there are ``LOT`` characters of them.
+
+    A task holds one lot as Python objects, however many rows Spark sends it at a time.
+    """
+    fields = pa.schema([(name, _ARROW[kind]) for name, kind in (c.split() for c in schema.split(", "))])
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), fields)], schema=fields)
+
+    rows, have = [], 0
+    for size, more in sized:
+        rows += more
+        have += size
+        if have >= LOT and rows:
+            yield batch(rows)
+            rows, have = [], 0
+    if rows:
+        yield batch(rows)
+
+
+def each_row(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """The rows of Arrow batches one at a time."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield tuple(c[i].as_py() for c in batch.columns)
+
+
 def scanned_lines(units: DataFrame) -> DataFrame:
     """The lines of every unit (workId, unitIndex, content, author, title), see :func:`unit_lines`.  Null content has none."""
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for work, unit, content, author, title in zip(pdf["workId"], pdf["unitIndex"], pdf["content"], pdf["author"], pdf["title"]):
-                out += [(work, unit, *row) for row in unit_lines(content, author, title)]
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in LINES.split(", ")])
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = each_row(batches)
+        return in_lots(((len(content), [(work, unit, *row) for row in unit_lines(content, author, title)]) for work, unit, content, author, title in rows), LINES)
 
-    return units.where("content IS NOT NULL").select("workId", "unitIndex", "content", "author", "title").mapInPandas(read, LINES)
+    return units.where("content IS NOT NULL").select("workId", "unitIndex", "content", "author", "title").mapInArrow(read, LINES)
 
 
 def glyph_keys(counts: DataFrame) -> DataFrame:
     """(key, word, n, wild): the skeletons of every word, and of every frequent word with each character lost."""
 
-    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for w, n in zip(pdf["word"], pdf["n"]):
-                for k in skeletons(w):
-                    out.append((k, w, n, False))
-                    if n >= FREQUENT and "�" not in w:
-                        out += [(k[:i] + "�" + k[i + 1 :], w, n, True) for i in range(len(k))]
-            yield pd.DataFrame(out, columns=["key", "word", "n", "wild"])
+    schema = "key string, word string, n bigint, wild boolean"
+
+    def sized(w: str, n: int) -> Iterator[tuple[int, list[tuple]]]:
+        for k in skeletons(w):
+            yield 2 * len(w), [(k, w, n, False)]
+            if n >= FREQUENT and "�" not in w:
+                yield from ((2 * len(w), [(k[:i] + "�" + k[i + 1 :], w, n, True)]) for i in range(len(k)))
 
-    return counts.mapInPandas(keys, "key string, word string, n bigint, wild boolean")
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return in_lots((x for w, n in each_row(batches) for x in sized(w, n)), schema)
+
+    return counts.select("word", "n").mapInArrow(keys, schema)
 
 
 def glyph_links(counts: DataFrame) -> DataFrame:
@@ -327,23 +360,37 @@ def skip_grams(lines: DataFrame) -> DataFrame:
 
     def count(words: list[pa.Array], places: list[np.ndarray], own: list[np.ndarray]) -> pa.RecordBatch:
         coded = pa.concat_arrays(words).dictionary_encode()
-        names, codes, line = coded.dictionary, coded.indices.to_numpy().astype(np.int64), np.concatenate(places)
+        names, codes, line = coded.dictionary, coded.indices.to_numpy(), np.concatenate(places)
         here = np.concatenate(own)
         of = np.array([bucket(w) for w in names.to_pylist()], dtype=np.int64)
-        pairs = []
+        keys, end = np.empty(2 * WINDOW * len(codes), dtype=np.int64), 0
         for k in range(1, WINDOW + 1):
             same = (line[:-k] == line[k:]) & here[k:]
             x, y = codes[:-k][same], codes[k:][same]
-            pairs += [x * BUCKETS + of[y], y * BUCKETS + of[x]]
-        keys, n = np.unique(np.concatenate(pairs), return_counts=True)
+            for word, other in ((x, y), (y, x)):
+                np.add(word.astype(np.int64) * BUCKETS, of[other], out=keys[end : end + len(x)])
+                end += len(x)
+        keys = keys[:end]
+        keys.sort()
+        new = np.ones(end, dtype=bool)
+        new[1:] = keys[1:] != keys[:-1]
+        first = np.flatnonzero(new)
+        keys, n = keys[first], np.diff(first, append=end)
         return pa.RecordBatch.from_arrays([names.take(pa.array(keys // BUCKETS)), pa.array((keys % BUCKETS).astype(np.int32)), pa.array(n)], names=["word", "bucket", "n"])
 
+    def sizes_of(batch: pa.RecordBatch) -> np.ndarray:
+        return batch.column(0).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(sizes_of(batch)) // CHUNK)) + 1).tolist(), batch.num_rows]
+        yield from (batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:]))
+
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, places, own, have, seen = [], [], [], 0, 0
-        for batch in batches:
+        for batch in (part for batch in batches for part in parts(batch)):
             lists = batch.column(0)
             words.append(lists.flatten())
-            sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            sizes = sizes_of(batch)
             places.append(np.repeat(np.arange(seen, seen + len(lists)), sizes))
             within = np.arange(len(words[-1])) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             own.append(within >= np.repeat(batch.column(1).to_numpy(), sizes))
@@ -463,12 +510,12 @@ class Scans:
         joins = self.bare_splits.groupBy("workId", "unitIndex").agg(F.collect_set("lineNo").alias("joins"))
         rows = self.units.select("workId", "unitIndex", "content", "author", "title").join(fixes, ["workId", "unitIndex"], "left").join(joins, ["workId", "unitIndex"], "left")
 
-        def repair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                out = [(w, u, *reflow(c or "", a, t, {} if f is None else {x["word"]: x["better"] for x in f}, set() if j is None else set(j))) for w, u, c, a, t, f, j in pdf.itertuples(index=False)]
-                yield pd.DataFrame(out, columns=["workId", "unitIndex", "paragraphs", "text", "fixed", "joined", "removed"])
+        schema = "workId string, unitIndex bigint, paragraphs int, text string, fixed int, joined int, removed int"
+
+        def repair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            return in_lots(((len(c or ""), [(w, u, *reflow(c or "", a, t, {x["word"]: x["better"] for x in f or ()}, set(j or ())))]) for w, u, c, a, t, f, j in each_row(batches)), schema)
 
-        return rows.mapInPandas(repair, "workId string, unitIndex bigint, paragraphs int, text string, fixed int, joined int, removed int")
+        return rows.mapInArrow(repair, schema)
 
 
 def _like(model: str, word: str) -> str:

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,6 +92,53 @@ def test_skip_grams_match_brute_force(spark):
     assert spark.range(1).selectExpr(f"crc32(cast('žluť' AS binary)) % {scans.BUCKETS} AS b").first()["b"] == scans.bucket("žluť")
 
 
+class Captured:
+    """Stands for a table and keeps the step in Python that it is given."""
+
+    def __getattr__(self, name):
+        return lambda *args, **more: self
+
+    def mapInArrow(self, step, schema):
+        self.step = lambda *batches: list(step(iter(batches)))
+        return self
+
+    def mapInPandas(self, step, schema):
+        self.step = lambda *batches: [pa.RecordBatch.from_pandas(x, preserve_index=False) for x in step(b.to_pandas() for b in batches)]
+        return self
+
+
+def test_scan_steps_hand_their_rows_on_in_lots(spark, monkeypatch):
+    monkeypatch.setattr(scans, "LOT", 2_000, raising=False)
+    size = len(SCAN)
+    units = pa.RecordBatch.from_pydict({"workId": [f"w{i}" for i in range(100)], "unitIndex": [1] * 100, "content": [SCAN] * 100, "author": ["A. Writer"] * 100, "title": [None] * 100})
+    lots = scans.scanned_lines(Captured()).step(units)
+    lines = [x for b in lots for x in b.to_pylist()]
+    per_unit = scans.unit_lines(SCAN, "A. Writer", None)
+    assert [tuple(x.values()) for x in lines] == [(f"w{i}", 1, *row) for i in range(100) for row in per_unit]
+    assert max(b.num_rows for b in lots) <= -(-2_000 // size) * len(per_unit)
+
+    word = "ab" * 200
+    lots = scans.glyph_keys(Captured()).step(pa.RecordBatch.from_pydict({"word": [word, "cat"], "n": [5, 1]}))
+    keys = {tuple(x.values()) for b in lots for x in b.to_pylist()}
+    assert {x for x in keys if x[1] == "cat"} == {(k, "cat", 1, False) for k in scans.skeletons("cat")}
+    assert {x for x in keys if x[3]} == {(k[:i] + "\ufffd" + k[i + 1 :], word, 5, True) for k in scans.skeletons(word) for i in range(len(k))}
+    assert max(b.nbytes for b in lots) < 20_000
+
+
+def test_skip_grams_of_one_large_batch_are_counted_in_arrays(spark, monkeypatch):
+    random.seed(7)
+    lines = [[random.choice("abcdefgh") for _ in range(40)] for _ in range(200)]
+    batch = pa.RecordBatch.from_pydict({"words": lines, "old": pa.array([i % 4 for i in range(200)], pa.int32())})
+    totals = []
+    for chunk in (1 << 20, 400):
+        monkeypatch.setattr(scans, "CHUNK", chunk)
+        lots, total = scans.skip_grams(Captured()).step(batch), {}
+        for x in (x for b in lots for x in b.to_pylist()):
+            total[x["word"], x["bucket"]] = total.get((x["word"], x["bucket"]), 0) + x["n"]
+        totals.append(total)
+    assert totals[0] == totals[1] and len(lots) >= 20
+
+
 def test_vectors_decide_which_words_are_misread(spark, monkeypatch):
     random.seed(5)
     first = [f"the {random.choice(['bat', 'owl'])} flew over the dark hill at night and the bat slept by day" for _ in range(30)]
